@@ -28,6 +28,7 @@ from farebox.functions import (
 )
 from farebox.operators.aggregates import (
     approx_percentile,
+    bounded_sketches,
     histogram,
     imbalance,
     mean_ratio,
@@ -305,7 +306,13 @@ def q5_imbalance(spark: SparkSession, folder: str) -> DataFrame:
 @query("q5_imbalance_limit", balance_sql(5))
 def q5_imbalance_limit(spark: SparkSession, folder: str) -> DataFrame:
     trips, zones = event_trips(spark, folder), nation_zones(spark, folder)
-    return rounded(plans.zone_balance(trips, zones, WINDOW, limit=5, broadcast_zones=True))
+    return rounded(plans.zone_balance(trips, zones, WINDOW, limit=5, strategy="broadcast"))
+
+
+@query("q5_imbalance_merge", balance_sql(16))
+def q5_imbalance_merge(spark: SparkSession, folder: str) -> DataFrame:
+    trips, zones = event_trips(spark, folder), nation_zones(spark, folder)
+    return rounded(plans.zone_balance(trips, zones, WINDOW, strategy="merge"))
 
 
 @query("q6_revenue", REVENUE_SQL)
@@ -948,7 +955,8 @@ def agg_avg_by_key(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("agg_percentile_approx", per_hour_sql("round(quantile_disc(fare_amount, 0.9), 6) AS p90_fare"))
 def agg_percentile_approx(spark: SparkSession, folder: str) -> DataFrame:
-    return per_hour(event_trips(spark, folder), approx_percentile(F.col("fare_amount")).alias("p90_fare"))
+    fares = bounded_sketches(event_trips(spark, folder).select("pickup_datetime", "fare_amount"))
+    return per_hour(fares, approx_percentile(F.col("fare_amount")).alias("p90_fare"))
 
 
 @query(

@@ -20,6 +20,9 @@ BIN_KM = 0.5
 BIN_COUNT = 1000
 TAIL_FRACTION = 0.9
 
+# Tasks that may feed percentile sketches: one per core of a large cluster.
+SKETCH_TASKS = 8192
+
 
 def row_count() -> Column:
     return F.count(F.lit(1))
@@ -30,6 +33,16 @@ def approx_percentile(value: Column, fraction: float = TAIL_FRACTION) -> Column:
     return F.percentile_approx(value, fraction)
 
 
+def bounded_sketches(df: DataFrame) -> DataFrame:
+    """Input of an approximate percentile, read by at most ``SKETCH_TASKS`` tasks.
+
+    Each task sends one sketch per group, and one task merges all sketches of a
+    group at about a millisecond each. With a task per file split of a very large
+    table that merge would outlast the scan. Smaller inputs are not affected.
+    """
+    return df.coalesce(SKETCH_TASKS)
+
+
 def share(condition: Column) -> Column:
     """Part of the rows meeting the condition (unknown counts as not met), a double."""
     return F.avg(F.when(condition, 1.0).otherwise(0.0))

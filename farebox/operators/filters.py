@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,17 +22,14 @@ def date_in(day: Column, dates: Iterable[date]) -> Column:
     return day.isin(list(dates))
 
 
-def moment_in(moment: Column, spans: Iterable[tuple[date, date]]) -> Column:
-    """Membership in half-open date spans.
+def moment_in(moment: str, spans: Iterable[tuple[date, date]]) -> Column:
+    """Membership of a timestamp column in half-open date spans.
 
     Plain comparisons on the stored timestamp reach the Parquet scan, where
     they skip row groups; a cast to date would not.
     """
-
-    def stamp(day: date) -> Column:
-        return F.lit(day.isoformat()).cast("timestamp_ntz")
-
-    return reduce(or_, ((moment >= stamp(start)) & (moment < stamp(end)) for start, end in spans))
+    within = (f"({moment} >= TIMESTAMP_NTZ'{start}' AND {moment} < TIMESTAMP_NTZ'{end}')" for start, end in spans)
+    return F.expr(" OR ".join(within))
 
 
 def in_report_hours(window: ReportWindow, moment: str = "pickup_datetime") -> Column:
@@ -44,7 +41,7 @@ def in_report_window(df: DataFrame, window: ReportWindow) -> Column:
     if "pickup_date" in df.columns:
         on_date = date_in(F.col("pickup_date"), window.dates)
     else:
-        on_date = moment_in(F.col("pickup_datetime"), window.date_spans)
+        on_date = moment_in("pickup_datetime", window.date_spans)
     return on_date & in_report_hours(window)
 
 

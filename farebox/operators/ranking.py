@@ -28,6 +28,15 @@ def top_overall(df: DataFrame, order: Sequence[Column], count: int) -> DataFrame
     return df.orderBy(*order).limit(count)
 
 
+def in_order(df: DataFrame, *order: str | Column) -> DataFrame:
+    """A small result (one row per group of a report) in global order.
+
+    One partition is ordered by a plain sort. The range shuffle of an ``orderBy``
+    would first sample its input, which finishes the aggregates below it twice.
+    """
+    return df.repartition(1).orderBy(*order)
+
+
 def running_total(
     df: DataFrame, by: Sequence[str], along: str, value: str, name: str, total: str | None = None
 ) -> DataFrame:

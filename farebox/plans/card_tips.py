@@ -14,6 +14,7 @@ from farebox.operators.aggregates import row_count
 from farebox.operators.filters import in_report_window, present
 from farebox.operators.joins import lookup
 from farebox.operators.projection import in_role
+from farebox.operators.ranking import in_order
 from farebox.params import ReportWindow
 
 # Fixed value: payment type of a card trip.
@@ -34,7 +35,7 @@ def card_tips(trips: DataFrame, zones: DataFrame, window: ReportWindow) -> DataF
         )
     )
     pickup = in_role(zones, {"location_id": "pu_location_id", "borough": "pickup_borough"})
-    return (
+    rates = (
         lookup(per_zone, pickup, "pu_location_id", required=["pickup_borough"])
         .groupBy("pickup_borough")
         .agg(
@@ -42,8 +43,8 @@ def card_tips(trips: DataFrame, zones: DataFrame, window: ReportWindow) -> DataF
             (F.sum("card_trips") / F.sum("zone_trips")).alias("card_share"),
             ratio(F.sum("rate_sum"), F.sum("rated_trips")).alias("avg_tip_rate_card"),
         )
-        .orderBy(F.col("avg_tip_rate_card").desc_nulls_last(), "pickup_borough")
     )
+    return in_order(rates, F.col("avg_tip_rate_card").desc_nulls_last(), "pickup_borough")
 
 
 CARD_TIPS_SQL = """
@@ -57,7 +58,8 @@ WITH per_zone AS (
   )
   GROUP BY pu_location_id
 )
-SELECT borough AS pickup_borough,
+SELECT /*+ REPARTITION(1) */
+       borough AS pickup_borough,
        sum(zone_trips) AS Trips,
        sum(card_trips) / sum(zone_trips) AS card_share,
        try_divide(sum(rate_sum), sum(rated_trips)) AS avg_tip_rate_card

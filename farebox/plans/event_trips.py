@@ -6,50 +6,56 @@ and time filters reach Parquet (``pickup_datetime`` is the stored column).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from farebox.sources import under
 
+# Columns of the tables that are read by every report: naming them saves a job that reads file footers.
+KNOWN_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+TRIP_COLUMNS = """
+event_id
+event_type
+CAST(event_id % 2 + 1 AS INT) AS vendor_id
+ts AS pickup_datetime
+timestampadd(SECOND, floor(value * 60) - 60, ts) AS dropoff_datetime
+value / 10 AS trip_distance
+40.5D + (event_id * 37 % 500) / 1000D AS pickup_latitude
+-74.2D + (event_id * 53 % 500) / 1000D AS pickup_longitude
+40.5D + (event_id * 71 % 500) / 1000D AS dropoff_latitude
+-74.2D + (event_id * 97 % 500) / 1000D AS dropoff_longitude
+CAST(user_id % 27 AS INT) AS pu_location_id
+CAST(event_id % 26 AS INT) AS do_location_id
+CASE WHEN event_type = 'purchase' THEN 1 ELSE 2 END AS payment_type
+value AS fare_amount
+value * (event_id % 7) / 20 AS tip_amount
+value * 1.5D AS total_amount
+CASE WHEN event_id % 3 <> 0 THEN 2.5D END AS congestion_surcharge
+CASE WHEN event_id % 11 = 0 THEN 1.25D END AS airport_fee
+"""
+
+ZONE_COLUMNS = """
+n_nationkey AS location_id
+r_name AS borough
+n_name AS zone
+'SZ_' || n_nationkey % 3 AS service_zone
+"""
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(under(folder, f"{name}.parquet"))
+    reader = spark.read.schema(KNOWN_SCHEMAS[name]) if name in KNOWN_SCHEMAS else spark.read
+    return reader.parquet(under(folder, f"{name}.parquet"))
 
 
 def event_trips(spark: SparkSession, folder: str) -> DataFrame:
-    event, user, value = F.col("event_id"), F.col("user_id"), F.col("value")
-    seconds = F.floor(value * 60) - 60
-
-    def spread(factor: int, start: float) -> Column:
-        return F.lit(start) + (event * factor % 500) / 1000.0
-
-    return read_table(spark, folder, "events").select(
-        "event_id",
-        "event_type",
-        (event % 2 + 1).cast("int").alias("vendor_id"),
-        F.col("ts").alias("pickup_datetime"),
-        F.timestamp_add("SECOND", seconds, F.col("ts")).alias("dropoff_datetime"),
-        (value / 10).alias("trip_distance"),
-        spread(37, 40.5).alias("pickup_latitude"),
-        spread(53, -74.2).alias("pickup_longitude"),
-        spread(71, 40.5).alias("dropoff_latitude"),
-        spread(97, -74.2).alias("dropoff_longitude"),
-        (user % 27).cast("int").alias("pu_location_id"),
-        (event % 26).cast("int").alias("do_location_id"),
-        F.when(F.col("event_type") == "purchase", 1).otherwise(2).alias("payment_type"),
-        value.alias("fare_amount"),
-        (value * (event % 7) / 20).alias("tip_amount"),
-        (value * 1.5).alias("total_amount"),
-        F.when(event % 3 != 0, 2.5).alias("congestion_surcharge"),
-        F.when(event % 11 == 0, 1.25).alias("airport_fee"),
-    )
+    return read_table(spark, folder, "events").selectExpr(*TRIP_COLUMNS.strip().split("\n"))
 
 
 def nation_zones(spark: SparkSession, folder: str) -> DataFrame:
-    nation, region = read_table(spark, folder, "nation"), read_table(spark, folder, "region")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").alias("location_id"),
-        F.col("r_name").alias("borough"),
-        F.col("n_name").alias("zone"),
-        F.concat(F.lit("SZ_"), (F.col("n_nationkey") % 3).cast("string")).alias("service_zone"),
-    )
+    region = read_table(spark, folder, "region").withColumnRenamed("r_regionkey", "n_regionkey")
+    nation = read_table(spark, folder, "nation")
+    return nation.join(region, "n_regionkey").selectExpr(*ZONE_COLUMNS.strip().split("\n"))

@@ -8,9 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farebox.functions import great_circle_km, great_circle_km_arrow, whole_seconds
-from farebox.operators.aggregates import approx_percentile, histogram, histogram_percentile, row_count
+from farebox.operators.aggregates import (
+    approx_percentile,
+    bounded_sketches,
+    histogram,
+    histogram_percentile,
+    row_count,
+)
 from farebox.operators.filters import in_report_hours, positive, valid_point
 from farebox.operators.projection import with_hour_label
+from farebox.operators.ranking import in_order
 from farebox.params import ReportWindow
 
 Distance = Callable[[Column, Column, Column, Column], Column]
@@ -31,12 +38,12 @@ def _measured(trips: DataFrame, window: ReportWindow, distance: Distance) -> Dat
 
 
 def _profile(trips: DataFrame, window: ReportWindow, distance: Distance) -> DataFrame:
-    per_hour = _measured(trips, window, distance).groupBy("hour_of_day").agg(
+    per_hour = bounded_sketches(_measured(trips, window, distance)).groupBy("hour_of_day").agg(
         row_count().alias("Trips"),
         F.avg("minutes").alias("AvgDurationMin"),
         approx_percentile(F.col("km")).alias("P90HaversineKm"),
     )
-    return with_hour_label(per_hour.orderBy("hour_of_day"))
+    return with_hour_label(in_order(per_hour, "hour_of_day"))
 
 
 def hourly_profile(trips: DataFrame, window: ReportWindow) -> DataFrame:
@@ -61,4 +68,4 @@ def hourly_profile_histogram(trips: DataFrame, window: ReportWindow) -> DataFram
         (F.col("minutes") / F.col("rows")).alias("AvgDurationMin"),
         F.col("percentile").alias("P90HaversineKm"),
     )
-    return with_hour_label(per_hour.orderBy("hour_of_day"))
+    return with_hour_label(in_order(per_hour, "hour_of_day"))

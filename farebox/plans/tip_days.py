@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from farebox.functions import iso_day, ratio
 from farebox.operators.filters import in_report_hours, positive, present
-from farebox.operators.ranking import top_per_group
+from farebox.operators.ranking import in_order, top_per_group
 from farebox.params import ReportWindow
 
 
@@ -23,13 +23,13 @@ def top_tip_days(trips: DataFrame, window: ReportWindow) -> DataFrame:
     )
     best_first = [F.col("avg_tip_per_mile").desc_nulls_last(), F.col("day")]
     best = top_per_group(daily, by=["vendor_id"], order=best_first, count=window.top_k)
-    return best.orderBy("vendor_id", *best_first).select(
+    return in_order(best, "vendor_id", *best_first).select(
         "vendor_id", iso_day(F.col("day")).alias("date"), "avg_tip_per_mile"
     )
 
 
 TOP_TIP_DAYS_SQL = """
-SELECT vendor_id, date_format(day, 'yyyy-MM-dd') AS date, avg_tip_per_mile
+SELECT /*+ REPARTITION(1) */ vendor_id, date_format(day, 'yyyy-MM-dd') AS date, avg_tip_per_mile
 FROM (
   SELECT *, row_number() OVER (PARTITION BY vendor_id ORDER BY avg_tip_per_mile DESC NULLS LAST, day) AS place
   FROM (

@@ -35,16 +35,16 @@ def visits_per_zone(trips: DataFrame) -> DataFrame:
 
 
 def zone_balance(
-    trips: DataFrame, zones: DataFrame, window: ReportWindow, limit: int | None = None, broadcast_zones: bool = False
+    trips: DataFrame, zones: DataFrame, window: ReportWindow, limit: int | None = None, strategy: str = "auto"
 ) -> DataFrame:
-    """``limit`` replaces K; ``broadcast_zones`` asks for a broadcast of the zones, size permitting."""
+    """``limit`` replaces K; ``strategy`` says how the zones are joined."""
     visits = visits_per_zone(trips.where(in_report_window(trips, window)))
     named = join_with_strategy(
         visits,
         zones.select("location_id", "borough", "zone").where(F.col("borough").isNotNull() & F.col("zone").isNotNull()),
         key="location_id",
         how="inner",
-        strategy="broadcast" if broadcast_zones else "auto",
+        strategy=strategy,
     )
     scored = named.select(
         "borough", "zone", "pickups", "dropoffs", imbalance(F.col("pickups"), F.col("dropoffs")).alias("imbalance")

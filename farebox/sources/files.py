@@ -59,11 +59,10 @@ def scan_tolerant(spark: SparkSession, path: str, layout: Layout, needed: Sequen
     is no number or time, or is NaN or infinite.
     """
     df = conform(scan_csv(spark, path), layout)
-    numbers = [name for name in needed if dict(df.dtypes)[name] == "double"]
-    sound = df.na.drop(subset=list(needed))
-    for name in numbers:
-        sound = sound.where(finite(F.col(name)))
-    return sound
+    kinds = dict(df.dtypes)
+    for name in needed:
+        df = df.where(finite(F.col(name)) if kinds[name] == "double" else F.col(name).isNotNull())
+    return df
 
 
 def load_table(spark: SparkSession, path: str, layout: Layout, fmt: str) -> DataFrame:

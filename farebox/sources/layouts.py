@@ -20,14 +20,20 @@ from farebox.operators.projection import with_pickup_date
 
 @dataclass(frozen=True)
 class Field:
-    """One clean column: its type, raw header, further headers, and whether a table must have it."""
+    """One clean column: its type, its raw header, and whether a table must have it.
+
+    A table may spell the column either way, in any case.
+    """
 
     name: str
     type: str
     header: str
-    also: tuple[str, ...] = ()
     required: bool = False
 
+    @property
+    def spellings(self) -> tuple[str, str]:
+        return self.header, self.name
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -42,12 +48,9 @@ class Layout:
 
 
 def _layout(title: str, text: str, dated: bool = False) -> Layout:
-    """Reads lines of ``name type header[,header...] [required]``."""
-    fields = []
-    for line in text.split("\n"):
-        if parts := line.split():
-            header, *also = parts[2].split(",")
-            fields.append(Field(parts[0], parts[1], header, tuple(also), required=parts[3:] == ["required"]))
+    """Reads lines of ``name type header [required]``."""
+    lines = [line.split() for line in text.strip().split("\n")]
+    fields = (Field(name, kind, header, required=rest == ["required"]) for name, kind, header, *rest in lines)
     return Layout(title, tuple(fields), dated)
 
 
@@ -55,51 +58,51 @@ def _layout(title: str, text: str, dated: bool = False) -> Layout:
 GPS_TRIPS = _layout(
     "GPS trips",
     """
-    vendor_id              int        VendorID               required
-    pickup_datetime        timestamp  tpep_pickup_datetime   required
-    dropoff_datetime       timestamp  tpep_dropoff_datetime  required
-    passenger_count        int        passenger_count
-    trip_distance          double     trip_distance
-    pickup_longitude       double     pickup_longitude       required
-    pickup_latitude        double     pickup_latitude        required
-    ratecode_id            int        RateCodeID
-    store_and_fwd_flag     string     store_and_fwd_flag
-    dropoff_longitude      double     dropoff_longitude      required
-    dropoff_latitude       double     dropoff_latitude       required
-    payment_type           int        payment_type
-    fare_amount            double     fare_amount
-    extra                  double     extra
-    mta_tax                double     mta_tax
-    tip_amount             double     tip_amount
-    tolls_amount           double     tolls_amount
-    improvement_surcharge  double     improvement_surcharge
-    total_amount           double     total_amount
+    vendor_id              int            VendorID                required
+    pickup_datetime        timestamp_ntz  tpep_pickup_datetime    required
+    dropoff_datetime       timestamp_ntz  tpep_dropoff_datetime   required
+    passenger_count        int            passenger_count
+    trip_distance          double         trip_distance
+    pickup_longitude       double         pickup_longitude        required
+    pickup_latitude        double         pickup_latitude         required
+    ratecode_id            int            RateCodeID
+    store_and_fwd_flag     string         store_and_fwd_flag
+    dropoff_longitude      double         dropoff_longitude       required
+    dropoff_latitude       double         dropoff_latitude        required
+    payment_type           int            payment_type
+    fare_amount            double         fare_amount
+    extra                  double         extra
+    mta_tax                double         mta_tax
+    tip_amount             double         tip_amount
+    tolls_amount           double         tolls_amount
+    improvement_surcharge  double         improvement_surcharge
+    total_amount           double         total_amount
     """,
 )
 
 ZONED_TRIPS = _layout(
     "zoned trips",
     """
-    vendor_id              int        VendorID               required
-    pickup_datetime        timestamp  tpep_pickup_datetime   required
-    dropoff_datetime       timestamp  tpep_dropoff_datetime  required
-    passenger_count        int        passenger_count
-    trip_distance          double     trip_distance
-    ratecode_id            int        RatecodeID
-    store_and_fwd_flag     string     store_and_fwd_flag
-    pu_location_id         int        PULocationID           required
-    do_location_id         int        DOLocationID           required
-    payment_type           int        payment_type
-    fare_amount            double     fare_amount
-    extra                  double     extra
-    mta_tax                double     mta_tax
-    tip_amount             double     tip_amount
-    tolls_amount           double     tolls_amount
-    improvement_surcharge  double     improvement_surcharge
-    total_amount           double     total_amount
-    congestion_surcharge   double     congestion_surcharge
-    airport_fee            double     Airport_fee
-    cbd_congestion_fee     double     cbd_congestion_fee
+    vendor_id              int            VendorID                required
+    pickup_datetime        timestamp_ntz  tpep_pickup_datetime    required
+    dropoff_datetime       timestamp_ntz  tpep_dropoff_datetime   required
+    passenger_count        int            passenger_count
+    trip_distance          double         trip_distance
+    ratecode_id            int            RatecodeID
+    store_and_fwd_flag     string         store_and_fwd_flag
+    pu_location_id         int            PULocationID            required
+    do_location_id         int            DOLocationID            required
+    payment_type           int            payment_type
+    fare_amount            double         fare_amount
+    extra                  double         extra
+    mta_tax                double         mta_tax
+    tip_amount             double         tip_amount
+    tolls_amount           double         tolls_amount
+    improvement_surcharge  double         improvement_surcharge
+    total_amount           double         total_amount
+    congestion_surcharge   double         congestion_surcharge
+    airport_fee            double         Airport_fee
+    cbd_congestion_fee     double         cbd_congestion_fee
     """,
     dated=True,
 )
@@ -107,14 +110,18 @@ ZONED_TRIPS = _layout(
 ZONES = _layout(
     "zones",
     """
-    location_id   int     LocationID    required
-    borough       string  Borough       required
-    zone          string  Zone          required
-    service_zone  string  service_zone
+    location_id            int            LocationID              required
+    borough                string         Borough                 required
+    zone                   string         Zone                    required
+    service_zone           string         service_zone
     """,
 )
 
 
+# How each type is read from text.
+PARSERS = {"int": parse_whole, "double": parse_decimal, "timestamp_ntz": parse_stamp}
+
+
 def find_column(columns: Sequence[str], names: Sequence[str]) -> str | None:
     """The table's own spelling of the first of ``names`` it has, ignoring case."""
     spelling = {column.lower(): column for column in columns}
@@ -124,25 +131,24 @@ def find_column(columns: Sequence[str], names: Sequence[str]) -> str | None:
 def require_columns(df: DataFrame, layout: Layout) -> None:
     """One error for all required fields the table lacks, before any job runs."""
     missing = [
-        f"{field.name} (as {' or '.join(dict.fromkeys((field.header, *field.also, field.name)))})"
+        f"{field.name} (as {' or '.join(dict.fromkeys(field.spellings))})"
         for field in layout.fields
-        if field.required and find_column(df.columns, (field.header, *field.also, field.name)) is None
+        if field.required and find_column(df.columns, field.spellings) is None
     ]
     if missing:
         raise ValueError(f"the {layout.title} table lacks required columns: {'; '.join(missing)}")
 
 
 def _typed(column: Column, stored: T.DataType, wanted: str) -> Column:
-    """Text is parsed without raising; stored types are kept or cast."""
-    if isinstance(stored, T.StringType):
-        if wanted == "timestamp":
-            return parse_stamp(column)
-        if wanted == "int":
-            return parse_whole(column)
-        if wanted == "double":
-            return parse_decimal(column)
+    """Text is parsed without raising; a stored type is kept, or cast where it differs.
+
+    A kept column stays bare, so filters on it still reach the Parquet scan.
+    """
+    if stored.simpleString() == wanted:
         return column
-    return column.try_cast("timestamp_ntz" if wanted == "timestamp" else wanted)
+    if isinstance(stored, T.StringType) and wanted in PARSERS:
+        return PARSERS[wanted](column)
+    return column.try_cast(wanted)
 
 
 def conform(df: DataFrame, layout: Layout) -> DataFrame:
@@ -157,12 +163,12 @@ def conform(df: DataFrame, layout: Layout) -> DataFrame:
     def pick(name: str, names: Sequence[str], wanted: str) -> Column:
         source = find_column(df.columns, names)
         if source is None:
-            return F.lit(None).cast("timestamp_ntz" if wanted == "timestamp" else wanted).alias(name)
+            return F.lit(None).cast(wanted).alias(name)
         return _typed(F.col(f"`{source}`"), stored[source], wanted).alias(name)
 
-    columns = [pick(field.name, (field.header, *field.also, field.name), field.type) for field in layout.fields]
+    columns = [pick(field.name, field.spellings, field.type) for field in layout.fields]
     if not layout.dated:
         return df.select(*columns)
     if (given := find_column(df.columns, ["pickup_date"])) is not None:
-        columns.append(F.col(f"`{given}`").try_cast("date").alias("pickup_date"))
+        columns.append(_typed(F.col(f"`{given}`"), stored[given], "date").alias("pickup_date"))
     return with_pickup_date(df.select(*columns))

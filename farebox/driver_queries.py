@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from farebox import plans
@@ -823,11 +823,11 @@ def join_after_agg(spark: SparkSession, folder: str) -> DataFrame:
   FROM trips LEFT JOIN zones ON pu_location_id = location_id GROUP BY ALL
 ), d AS (
   SELECT location_id, borough, zone, count(*) AS dropoffs
-  FROM trips LEFT JOIN zones ON do_location_id = location_id AND n_even(do_location_id) GROUP BY ALL
+  FROM trips LEFT JOIN zones ON do_location_id = location_id AND do_location_id % 2 = 0 GROUP BY ALL
 )
 SELECT location_id, borough, zone, coalesce(pickups, 0) AS pickups, coalesce(dropoffs, 0) AS dropoffs
 FROM p FULL OUTER JOIN d USING (location_id, borough, zone)
-""".replace("n_even(do_location_id)", "do_location_id % 2 = 0"),
+""",
 )
 def join_full_outer(spark: SparkSession, folder: str) -> DataFrame:
     """Dropoffs are named for even zone ids only, so that both sides have rows of their own.
@@ -1159,9 +1159,9 @@ def sort_nulls_last(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy("vendor_id", day.alias("day"))
         .agg(F.avg(F.when(F.dayofmonth("pickup_datetime") % 3 != 0, F.col("fare_amount"))).alias("fare"))
     )
-    days_of_a_vendor = 1_000_000  # all of them: the number of dates bounds the group
     order = [F.col("fare").desc_nulls_last(), F.col("day")]
-    placed = top_per_group(daily, ["vendor_id"], order, days_of_a_vendor, rank="place")
+    # A window holds a vendor's averages, one per date.
+    placed = daily.withColumn("place", F.row_number().over(Window.partitionBy("vendor_id").orderBy(*order)))
     return rounded(placed.orderBy("vendor_id", *order).withColumn("day", iso_day(F.col("day"))))
 
 
@@ -1211,7 +1211,8 @@ def fn_parse_timestamp(spark: SparkSession, folder: str) -> DataFrame:
     """Text of six kinds: full, seconds, milliseconds with T, padded, a bare date, no time at all."""
     event, stamp = F.col("event_id") % 6, F.col("ts")
     seconds = F.date_trunc("second", stamp).cast("timestamp_ntz").cast("string")
-    micros = F.concat(seconds, F.lit("."), F.lpad((F.extract(F.lit("SECOND"), stamp) % 1 * 1000000).cast("int").cast("string"), 6, "0"))
+    fraction = (F.extract(F.lit("SECOND"), stamp) % 1 * 1000000).cast("int").cast("string")
+    micros = F.concat(seconds, F.lit("."), F.lpad(fraction, 6, "0"))
     text = (
         F.when(event == 0, micros)
         .when(event == 1, F.replace(seconds, F.lit(" "), F.lit("T")))

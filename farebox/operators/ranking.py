@@ -29,10 +29,11 @@ def top_overall(df: DataFrame, order: Sequence[Column], count: int) -> DataFrame
 
 
 def in_order(df: DataFrame, *order: str | Column) -> DataFrame:
-    """A small result (one row per group of a report) in global order.
+    """A result with a fixed small number of rows (one per hour of day) in global order.
 
-    One partition is ordered by a plain sort. The range shuffle of an ``orderBy``
-    would first sample its input, which finishes the aggregates below it twice.
+    One partition is ordered by a plain sort. The range shuffle of an ``orderBy``,
+    right for any result that may grow, first samples its input and so finishes
+    the aggregates below it twice, which is costly for percentile sketches.
     """
     return df.repartition(1).orderBy(*order)
 

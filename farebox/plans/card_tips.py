@@ -14,7 +14,6 @@ from farebox.operators.aggregates import row_count
 from farebox.operators.filters import in_report_window, present
 from farebox.operators.joins import lookup
 from farebox.operators.projection import in_role
-from farebox.operators.ranking import in_order
 from farebox.params import ReportWindow
 
 # Fixed value: payment type of a card trip.
@@ -44,7 +43,7 @@ def card_tips(trips: DataFrame, zones: DataFrame, window: ReportWindow) -> DataF
             ratio(F.sum("rate_sum"), F.sum("rated_trips")).alias("avg_tip_rate_card"),
         )
     )
-    return in_order(rates, F.col("avg_tip_rate_card").desc_nulls_last(), "pickup_borough")
+    return rates.orderBy(F.col("avg_tip_rate_card").desc_nulls_last(), "pickup_borough")
 
 
 CARD_TIPS_SQL = """
@@ -58,8 +57,7 @@ WITH per_zone AS (
   )
   GROUP BY pu_location_id
 )
-SELECT /*+ REPARTITION(1) */
-       borough AS pickup_borough,
+SELECT borough AS pickup_borough,
        sum(zone_trips) AS Trips,
        sum(card_trips) / sum(zone_trips) AS card_share,
        try_divide(sum(rate_sum), sum(rated_trips)) AS avg_tip_rate_card

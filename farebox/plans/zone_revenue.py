@@ -13,7 +13,6 @@ from farebox.operators.aggregates import row_count, sum_or_zero
 from farebox.operators.filters import in_report_window, present
 from farebox.operators.joins import lookup
 from farebox.operators.projection import in_role, with_revenue_defaults
-from farebox.operators.ranking import in_order
 from farebox.params import ReportWindow
 
 
@@ -42,4 +41,4 @@ def zone_revenue(trips: DataFrame, zones: DataFrame, window: ReportWindow) -> Da
         "Share": ratio(F.col("CongestionAirport"), F.col("TotalRevenue")),
         "AvgRevenuePerTrip": F.col("TotalRevenue") / F.col("Trips"),
     }
-    return in_order(totals.withColumns(shares), "vendor_id", "pickup_service_zone")
+    return totals.withColumns(shares).orderBy("vendor_id", "pickup_service_zone")

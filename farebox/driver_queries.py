@@ -93,7 +93,7 @@ trips AS (
          CAST(event_id % 2 + 1 AS INTEGER) AS vendor_id,
          ts AS pickup_datetime,
          ts + to_seconds(CAST(floor(value * 60) - 60 AS BIGINT)) AS dropoff_datetime,
-         CAST(floor(value * 60) - 60 AS BIGINT) AS duration_seconds,
+         CASE WHEN ts IS NOT NULL THEN CAST(floor(value * 60) - 60 AS BIGINT) END AS duration_seconds,
          CAST(hour(ts) AS INTEGER) AS hour_of_day,
          value / 10 AS trip_distance,
          40.5e0 + (event_id * 37 % 500) / 1e3 AS pickup_latitude,
@@ -435,7 +435,7 @@ def broken_lines(spark: SparkSession, folder: str) -> str:
     for field in GPS_TRIPS.fields:
         if field.header in raw.columns:
             plain = flag if field.name == "store_and_fwd_flag" else F.col(field.name).cast("string")
-            cells.append(spoiled.get(field.name, plain))
+            cells.append(F.coalesce(spoiled.get(field.name, plain), F.lit("")))
     full, short = F.concat_ws(",", *cells), F.concat_ws(",", *cells[:4])
     line = F.when(kind == 3, short).otherwise(full)
     path = scratch_path(spark, "broken-lines")
@@ -463,7 +463,7 @@ TIP_NEEDS = ["vendor_id", "pickup_datetime", "trip_distance", "fare_amount", "ti
 {WITH_TRIPS}
 SELECT vendor_id, count(*) AS trips, round(sum(fare_amount), 4) AS fares,
        CAST(max(pickup_datetime) AS VARCHAR) AS last_pickup, 'a "quoted", flag' AS flag
-FROM trips WHERE {BROKEN_SQL} GROUP BY vendor_id
+FROM trips WHERE {BROKEN_SQL} AND duration_seconds IS NOT NULL GROUP BY vendor_id
 """,
 )
 def src_text_tolerant(spark: SparkSession, folder: str) -> DataFrame:
@@ -540,9 +540,9 @@ def src_sql_views(spark: SparkSession, folder: str) -> DataFrame:
     trips = event_trips(spark, folder)
     register_views(TripTables(trips, trips, nation_zones(spark, folder)))
     return spark.sql("""
-        SELECT borough, sum(zone_trips) AS trips, round(sum(distance) / sum(zone_trips), 6) AS avg_distance
+        SELECT borough, sum(zone_trips) AS trips, round(sum(distance) / sum(measured), 6) AS avg_distance
         FROM (
-          SELECT pu_location_id, count(*) AS zone_trips, sum(trip_distance) AS distance
+          SELECT pu_location_id, count(*) AS zone_trips, sum(trip_distance) AS distance, count(trip_distance) AS measured
           FROM trips2024 GROUP BY pu_location_id
         ) JOIN zones ON pu_location_id = location_id
         GROUP BY borough
@@ -964,7 +964,7 @@ def agg_percentile_approx(spark: SparkSession, folder: str) -> DataFrame:
     f"""
 {WITH_TRIPS}
 SELECT vendor_id, least(CAST(floor(fare_amount / 0.5e0) AS INTEGER), 1000) AS bin, count(*) AS rows
-FROM trips GROUP BY ALL
+FROM trips WHERE fare_amount IS NOT NULL GROUP BY ALL
 """,
 )
 def agg_histogram(spark: SparkSession, folder: str) -> DataFrame:
@@ -1126,7 +1126,7 @@ def win_topk_row_number(spark: SparkSession, folder: str) -> DataFrame:
     f"""
 {WITH_TRIPS}, bins AS (
   SELECT hour_of_day, least(CAST(floor(fare_amount / 0.5e0) AS INTEGER), 1000) AS bin, count(*) AS rows
-  FROM trips GROUP BY ALL
+  FROM trips WHERE fare_amount IS NOT NULL GROUP BY ALL
 )
 SELECT hour_of_day, bin, rows, CAST(sum(rows) OVER (PARTITION BY hour_of_day ORDER BY bin) AS BIGINT) AS reached
 FROM bins
@@ -1147,7 +1147,8 @@ def win_running_total(spark: SparkSession, folder: str) -> DataFrame:
   FROM trips GROUP BY ALL
 )
 SELECT vendor_id, day, round(fare, 6) AS fare,
-       CAST(row_number() OVER (PARTITION BY vendor_id ORDER BY fare DESC NULLS LAST, day) AS INTEGER) AS place
+       CAST(row_number() OVER (PARTITION BY vendor_id ORDER BY fare DESC NULLS LAST, day NULLS FIRST) AS INTEGER)
+         AS place
 FROM daily
 """,
 )

@@ -33,7 +33,8 @@ def iso_day(moment: Column) -> Column:
 
 
 def hour_label(hour: Column) -> Column:
-    return F.format_string(HOUR_FORMAT, hour)
+    """Two-digit hour; NULL stays NULL, which the format alone would write as text."""
+    return F.when(hour.isNotNull(), F.format_string(HOUR_FORMAT, hour))
 
 
 def day_of_month(day: Column) -> Column:

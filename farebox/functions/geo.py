@@ -14,9 +14,8 @@ def great_circle_km(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Column)
     half_lat = F.sin(F.radians(lat_b - lat_a) / 2)
     half_lon = F.sin(F.radians(lon_b - lon_a) / 2)
     chord = half_lat * half_lat + F.cos(F.radians(lat_a)) * F.cos(F.radians(lat_b)) * half_lon * half_lon
-    # Rounding can lift antipodal points a hair above 1, where asin is undefined. (least() would turn NULL into 1.)
-    bounded = F.when(chord > 1.0, 1.0).otherwise(chord)
-    return F.asin(F.sqrt(bounded)) * (2 * EARTH_RADIUS_KM)
+    # abs(): rounding can lift the chord of antipodal points a hair above 1.
+    return F.atan2(F.sqrt(chord), F.sqrt(F.abs(1 - chord))) * (2 * EARTH_RADIUS_KM)
 
 
 def great_circle_km_arrow(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Column) -> Column:

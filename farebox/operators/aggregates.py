@@ -68,13 +68,13 @@ def imbalance(one: Column, other: Column) -> Column:
 def histogram(
     df: DataFrame, keys: Sequence[str], value: str, width: float = BIN_KM, bins: int = BIN_COUNT, **extra: Column
 ) -> DataFrame:
-    """Rows per key and bin; the last bin holds all that lies beyond.
+    """Rows per key and bin; the last bin holds all that lies beyond. NULL values are not counted.
 
     At most ``bins + 1`` rows per key leave any task. ``extra`` aggregates ride
     along in the same pass.
     """
     bin_index = F.least(F.floor(F.col(value) / width), F.lit(bins)).cast("int").alias("bin")
-    return df.groupBy(*keys, bin_index).agg(row_count().alias("rows"), *[c.alias(n) for n, c in extra.items()])
+    return df.where(F.col(value).isNotNull()).groupBy(*keys, bin_index).agg(row_count().alias("rows"), *[c.alias(n) for n, c in extra.items()])
 
 
 def histogram_percentile(

@@ -51,7 +51,7 @@ def test_top_overall_and_first_rows(spark):
 
 
 def test_histogram_edges_and_overflow(spark):
-    values = [0.0, 0.4999, 0.5, 0.9999, 499.9, 500.0, 777.0, 20000.0]
+    values = [0.0, 0.4999, 0.5, 0.9999, 499.9, 500.0, 777.0, 20000.0, None]
     df = spark.createDataFrame([(1, v) for v in values], "k int, v double")
     bins = {r.bin: r.rows for r in histogram(df, ["k"], "v").collect()}
     assert bins == {0: 2, 1: 2, 999: 1, 1000: 3}

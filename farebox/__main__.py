@@ -78,7 +78,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
     result = variants[variant](tables, ReportWindow.from_id(options.id), options)
     row_level = options.job == "join-study"
     write_csv_result(result, options.out, single_file=not row_level)
-    print(f"{options.job} {variant}: joins planned as {', '.join(strategy_labels(result)) or 'none'}; rows in {options.out}")
+    joins = ", ".join(strategy_labels(result)) or "none"
+    print(f"{options.job} {variant}: joins planned as {joins}; rows in {options.out}")
 
 
 if __name__ == "__main__":

@@ -8,7 +8,6 @@ floating sums depend on the order of partitions.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -73,7 +72,6 @@ from farebox.sources import (
     scan_csv_rows,
     scan_tolerant,
     scratch_path,
-    under,
     write_csv_result,
     write_parquet,
 )
@@ -426,9 +424,7 @@ def broken_lines(spark: SparkSession, folder: str) -> str:
     raw = raw_text(trips.withColumn("store_and_fwd_flag", F.lit('a "quoted", flag')), GPS_TRIPS)
     spoiled = {
         "pickup_latitude": F.when(kind == 5, F.lit("north")).otherwise(F.col("pickup_latitude").cast("string")),
-        "pickup_datetime": F.when(kind == 7, F.lit("2024-13-01 00:00")).otherwise(
-            F.col("pickup_datetime").cast("string")
-        ),
+        "pickup_datetime": F.when(kind == 7, "2024-13-01 00:00").otherwise(F.col("pickup_datetime").cast("string")),
     }
     flag = F.lit('"a ""quoted"", flag"')
     cells = []
@@ -480,7 +476,10 @@ def src_text_tolerant(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("q1_histogram_text", HOURLY_HISTOGRAM_SQL.replace("duration_seconds > 0", f"duration_seconds > 0 AND {BROKEN_SQL}"))
+@query(
+    "q1_histogram_text",
+    HOURLY_HISTOGRAM_SQL.replace("duration_seconds > 0", f"duration_seconds > 0 AND {BROKEN_SQL}"),
+)
 def q1_histogram_text(spark: SparkSession, folder: str) -> DataFrame:
     sound = scan_tolerant(spark, broken_lines(spark, folder), GPS_TRIPS, HOURLY_NEEDS)
     return rounded(plans.hourly_profile_histogram(sound, WINDOW))
@@ -496,12 +495,21 @@ def q2_top_days_text(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(plans.top_tip_days(sound, WINDOW))
 
 
-@query("src_csv_limit", "SELECT least(100, count(*)) AS kept, count(*) AS in_all FROM customer")
+@query(
+    "src_csv_limit",
+    """
+SELECT 'limited' AS scan, least(100, count(*)) AS rows FROM customer
+UNION ALL
+SELECT 'whole' AS scan, count(*) AS rows FROM customer
+""",
+)
 def src_csv_limit(spark: SparkSession, folder: str) -> DataFrame:
     path = write_csv(read_table(spark, folder, "customer"), "customers")
-    kept = scan_csv_rows(spark, path, limit=100).agg(row_count().alias("kept"))
-    in_all = scan_csv_rows(spark, path).agg(row_count().alias("in_all"))
-    return kept.select(F.lit(1).alias("one"), "kept").join(in_all.withColumn("one", F.lit(1)), "one").drop("one")
+    limited = scan_csv_rows(spark, path, limit=100).agg(row_count().alias("rows"))
+    whole = scan_csv_rows(spark, path).agg(row_count().alias("rows"))
+    return limited.select(F.lit("limited").alias("scan"), "rows").unionByName(
+        whole.select(F.lit("whole").alias("scan"), "rows")
+    )
 
 
 @query(
@@ -542,7 +550,8 @@ def src_sql_views(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql("""
         SELECT borough, sum(zone_trips) AS trips, round(sum(distance) / sum(measured), 6) AS avg_distance
         FROM (
-          SELECT pu_location_id, count(*) AS zone_trips, sum(trip_distance) AS distance, count(trip_distance) AS measured
+          SELECT pu_location_id, count(*) AS zone_trips,
+                 sum(trip_distance) AS distance, count(trip_distance) AS measured
           FROM trips2024 GROUP BY pu_location_id
         ) JOIN zones ON pu_location_id = location_id
         GROUP BY borough

@@ -70,11 +70,15 @@ def histogram(
 ) -> DataFrame:
     """Rows per key and bin; the last bin holds all that lies beyond. NULL values are not counted.
 
-    At most ``bins + 1`` rows per key leave any task. ``extra`` aggregates ride
-    along in the same pass.
+    At most ``bins + 1`` rows per key leave any task. ``extra`` aggregates over all
+    rows ride along in the same pass. NULLs are told by the count, as a filter
+    would compute the value a second time.
     """
     bin_index = F.least(F.floor(F.col(value) / width), F.lit(bins)).cast("int").alias("bin")
-    return df.where(F.col(value).isNotNull()).groupBy(*keys, bin_index).agg(row_count().alias("rows"), *[c.alias(n) for n, c in extra.items()])
+    counted = df.groupBy(*keys, bin_index).agg(
+        F.count(value).alias("rows"), *[column.alias(name) for name, column in extra.items()]
+    )
+    return counted.where(F.col("rows") > 0)
 
 
 def histogram_percentile(

@@ -27,8 +27,9 @@ def zone_flows(trips: DataFrame, zones: DataFrame, window: ReportWindow) -> Data
     pickup = in_role(zones, {"location_id": "pu_location_id", "borough": "pickup_borough"})
     dropoff = in_role(zones, {"location_id": "do_location_id", "borough": "dropoff_borough"})
     named = lookup(lookup(pairs, pickup, "pu_location_id"), dropoff, "do_location_id")
+    crossing = present("pickup_borough", "dropoff_borough") & (F.col("pickup_borough") != F.col("dropoff_borough"))
     flows = (
-        named.where(present("pickup_borough", "dropoff_borough") & (F.col("pickup_borough") != F.col("dropoff_borough")))
+        named.where(crossing)
         .groupBy("pickup_borough", "dropoff_borough")
         .agg(F.sum("pair_trips").alias("trips"))
     )

@@ -7,6 +7,8 @@ from collections import defaultdict
 import pytest
 from farebox.functions import finite, great_circle_km, great_circle_km_arrow, ratio
 from farebox.operators.aggregates import (
+    approx_percentile,
+    bounded_sketches,
     histogram,
     histogram_percentile,
     imbalance,
@@ -73,6 +75,17 @@ def test_histogram_percentile(spark, seed):
         assert got[key] == (len(members), min(math.floor(nth / 0.5), 1000) * 0.5)
 
 
+def test_approximate_percentile_is_a_value_of_nearly_the_right_rank(spark, monkeypatch):
+    monkeypatch.setattr("farebox.operators.aggregates.SKETCH_TASKS", 3)
+    df = spark.range(0, 50_000, 1, 16).select((F.col("id") % 2).alias("k"), (F.col("id") * 7919 % 50_000).alias("v"))
+    few = bounded_sketches(df)
+    assert few.rdd.getNumPartitions() == 3
+    got = few.groupBy("k").agg(approx_percentile(F.col("v")).alias("p"), F.count("v").alias("n")).collect()
+    for row in got:
+        values = sorted(n * 7919 % 50_000 for n in range(50_000) if n % 2 == row.k)
+        assert row.n == 25_000 and abs(values.index(row.p) - 0.9 * 25_000) <= 25_000 / 10_000 + 1
+
+
 def test_running_total(spark):
     df = spark.createDataFrame([("a", 2, 5), ("a", 1, 3), ("b", 9, 7)], "k string, at int, n int")
     got = running_total(df, ["k"], "at", "n", "reached", total="in_all").collect()
@@ -160,9 +173,8 @@ def test_finite(spark):
 @pytest.mark.parametrize("day", [1, 25, 27, 28])
 def test_span_filter_equals_date_membership(spark, day):
     window = ReportWindow(0, day, 10)
-    df = spark.range(0, 366 * 8).select(
-        F.timestamp_add("HOUR", F.col("id").cast("int") * 3, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("t")
-    )
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    df = spark.range(0, 366 * 8).select(F.timestamp_add("HOUR", F.col("id").cast("int") * 3, start).alias("t"))
     spans = df.where(moment_in("t", window.date_spans))
     members = df.where(F.to_date("t").isin(window.dates))
     assert spans.count() == members.count() > 0

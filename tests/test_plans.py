@@ -53,7 +53,9 @@ def test_dates_are_pushed_into_the_scan(spark, data, name):
     assert re.search(r"PushedFilters: .*(GreaterThanOrEqual|Or)\(", scan)
 
 
-@pytest.mark.parametrize("name", ["q3_flows_df", "q3_flows_sql", "q4_card_share", "q4_card_share_df", "q5_imbalance", "q6_revenue"])
+@pytest.mark.parametrize(
+    "name", ["q3_flows_df", "q3_flows_sql", "q4_card_share", "q4_card_share_df", "q5_imbalance", "q6_revenue"]
+)
 def test_facts_are_aggregated_before_they_are_joined(spark, data, name):
     """Between the fact scan and the first join above it lies an aggregate with its shuffle."""
     plan = plan_of(QUERIES[name](spark, data)).split("\n\n")[0]
@@ -100,8 +102,14 @@ def test_no_report_needs_a_nested_loop(spark, data):
             assert "NestedLoop" not in plan and "Cartesian" not in plan, name
 
 
+def test_a_lookup_with_required_attributes_is_an_inner_join(spark, data):
+    assert "LeftOuter" not in plan_of(QUERIES["join_left_notnull"](spark, data), "simple")
+    assert "LeftOuter" in plan_of(QUERIES["join_role_playing"](spark, data), "simple")
+
+
 def test_join_study_changes_the_plan_and_nothing_else(spark, data):
-    before = dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    before = [spark.conf.get(name) for name in names]
     trips, zones = event_trips(spark, data), nation_zones(spark, data)
     results = {}
     for strategy, label in (("auto", "BROADCAST"), ("merge", "MERGE"), ("shuffle_hash", "SHUFFLE_HASH")):
@@ -109,8 +117,7 @@ def test_join_study_changes_the_plan_and_nothing_else(spark, data):
         results[strategy] = sorted(map(repr, df.collect()))
         assert label in strategy_labels(df)
     assert results["auto"] == results["merge"] == results["shuffle_hash"]
-    assert before == (dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert before == [spark.conf.get(name) for name in names]
 
 
 @pytest.mark.parametrize("strategy", ["merge", "shuffle_hash"])

@@ -188,7 +188,7 @@ def test_one_hot_date_is_split_over_several_files(spark, tmp_path):
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
     }
     days = spark.range(0, 120_000, 1, 8).select(
-        F.when(F.col("id") % 3 == 0, F.lit("2024-01-02")).otherwise(F.lit("2024-01-01")).cast("date").alias("pickup_date"),
+        F.when(F.col("id") % 3 == 0, "2024-01-02").otherwise("2024-01-01").cast("date").alias("pickup_date"),
         F.sha2(F.col("id").cast("string"), 256).alias("load"),
     )
     before = {key: spark.conf.get(key, None) for key in settings}

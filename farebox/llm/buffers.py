@@ -106,3 +106,23 @@ def run_hashes(words: np.ndarray, owner: np.ndarray, size: int) -> tuple[np.ndar
 def by_text(texts: np.ndarray, rows: int) -> np.ndarray:
     """The rows + 1 bounds of each text's stretch in a sorted array of text numbers."""
     return np.searchsorted(texts, np.arange(rows + 1))
+
+
+_KIND = np.ones(256, np.uint8)  # 0 blank, 1 letter or digit, 2 other sign
+_KIND[:128] = 2
+_KIND[[0x20, *range(0x09, 0x0E)]] = 0
+_KIND[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 1
+
+
+def token_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, length and text number of every token: a run of letters and digits, or a run of other signs."""
+    kinds = _KIND[data]
+    edge = np.ones(len(data), bool)
+    edge[1:] = kinds[1:] != kinds[:-1]
+    cuts = offsets[1:-1]
+    edge[cuts[cuts < len(data)]] = True
+    starts = np.flatnonzero(edge)
+    lengths = np.diff(np.r_[starts, len(data)])
+    real = kinds[starts] > 0
+    starts, lengths = starts[real], lengths[real]
+    return starts, lengths, np.searchsorted(offsets, starts, "right") - 1

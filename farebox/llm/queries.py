@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farebox.llm.line_dedup import LINES_SQL, drop_boilerplate
+from farebox.llm.mixing import MIX_SQL, mix_sources
 from farebox.llm.quality import held_out, quality_of
 from farebox.llm.sentencepiece_bpe import encode_documents
 
@@ -46,3 +48,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_of(docs, labels)
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
     return scored.select("doc_id", held_out(3, 1).alias("held_out"), "score", predicted)
+
+
+@query
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+ORACLES["op5_mix_sources"] = MIX_SQL
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_dropped")
+
+
+ORACLES["op6_line_dedup"] = LINES_SQL

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from farebox.llm.line_dedup import LINES_SQL, drop_boilerplate
 from farebox.llm.mixing import MIX_SQL, mix_sources
+from farebox.llm.ngram_join import similar_documents
 from farebox.llm.quality import held_out, quality_of
 from farebox.llm.sentencepiece_bpe import encode_documents
 
@@ -65,3 +66,8 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op6_line_dedup"] = LINES_SQL
+
+
+@query
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farebox.llm.fingerprints import fingerprint_edits
 from farebox.llm.line_dedup import LINES_SQL, drop_boilerplate
 from farebox.llm.mixing import MIX_SQL, mix_sources
 from farebox.llm.ngram_join import similar_documents
@@ -71,3 +72,8 @@ ORACLES["op6_line_dedup"] = LINES_SQL
 @query
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(table(spark, sf_dir, "documents"))

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.llm.fingerprints import fingerprint_edits
+from farebox.llm.html_text import extract_text
 from farebox.llm.line_dedup import LINES_SQL, drop_boilerplate
 from farebox.llm.mixing import MIX_SQL, mix_sources
 from farebox.llm.ngram_join import similar_documents
 from farebox.llm.quality import held_out, quality_of
 from farebox.llm.sentencepiece_bpe import encode_documents
+from farebox.llm.substring_dedup import REPEATS_SQL, remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +79,19 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    places = F.array_join(F.transform("removed", lambda x: F.concat_ws("-", x.start, x.end)), ",")
+    return cut.select("doc_id", "n_removed", "text", places.alias("removed"))
+
+
+ORACLES["op7_substring_dedup"] = REPEATS_SQL
+
+
+@query
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = extract_text(table(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -41,7 +41,11 @@ NAMES = (
     "respond disqus share sharing social related recommended newsletter subscribe subscription login signup pagination pager toolbar widget skip"
 )
 
-_BLOCKS, _VOID, _APART, _ROLES, _NAMES = (frozenset(x.split()) for x in (BLOCKS, VOID, APART, ROLES, NAMES))
+SIBLINGS = "p li dt dd tr td th"
+
+_BLOCKS, _VOID, _APART, _ROLES, _NAMES, _SIBLINGS = (
+    frozenset(x.split()) for x in (BLOCKS, VOID, APART, ROLES, NAMES, SIBLINGS)
+)
 _ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -72,6 +76,24 @@ def set_apart(name: str, rest: str, inside_article: bool) -> bool:
     return False
 
 
+def unclosed(tokens: list[re.Match[str]]) -> set[int]:
+    """Places in the page of block elements that are never ended."""
+    open_at: list[tuple[str, int]] = []
+    loose: set[int] = set()
+    for token in tokens:
+        name = (token["name"] or "").lower()
+        if name not in _BLOCKS or name in _VOID:
+            continue
+        if not token["end"]:
+            if name in _SIBLINGS and open_at and open_at[-1][0] == name:
+                open_at.pop()
+            open_at.append((name, token.start()))
+        elif any(name == x for x, _ in open_at):
+            while (last := open_at.pop())[0] != name:
+                loose.add(last[1])
+    return loose | {place for _, place in open_at}
+
+
 def page_lines(page: str) -> list[tuple[str, int, int]]:
     """(text, weight, article) of every line in page order; lines set apart have weight -1, article 0 is none."""
     lines: list[tuple[str, int, int]] = []
@@ -95,7 +117,10 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
             linked += len("".join(html.unescape(text).split()))
 
     at = 0
-    for token in _TOKEN.finditer(page):
+    tokens = list(_TOKEN.finditer(page))
+    loose = unclosed(tokens)
+    ends_soon = False  # an element set apart but never ended holds no more than the text up to the next block
+    for token in tokens:
         if token.start() > at:
             add(page[at : token.start()])
         at = token.end()
@@ -111,6 +136,13 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
                 parts.append(" ")
             else:
                 end_line()
+            if ends_soon and stack:
+                stack.pop()
+                apart, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+            ends_soon = False
+            if not token["end"] and name in _SIBLINGS and stack and stack[-1][0] == name:
+                stack.pop()
+                apart, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
         if token["end"]:
             if name == "a":
                 link = max(0, link - 1)
@@ -134,6 +166,7 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
         if name in _BLOCKS or own:
             apart = apart or own
             stack.append((name, apart, article))
+            ends_soon = own and name in _BLOCKS and token.start() in loose
     if at < len(page):
         add(page[at:])
     end_line()

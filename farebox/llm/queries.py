@@ -15,6 +15,7 @@ from farebox.llm.ngram_join import similar_documents
 from farebox.llm.quality import held_out, quality_of
 from farebox.llm.sentencepiece_bpe import encode_documents
 from farebox.llm.substring_dedup import REPEATS_SQL, remove_repeats
+from farebox.llm.topk import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,3 +96,20 @@ ORACLES["op7_substring_dedup"] = REPEATS_SQL
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = extract_text(table(spark, sf_dir, "pages"))
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op4_top_k"] = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from farebox.llm.scratch import Steps
+
 MAX_RATIO = 0.1
 MIN_PAGES = 10
 
@@ -42,6 +44,8 @@ def boilerplate_lines(pages: DataFrame, host: str = "source", max_ratio: float =
 def drop_boilerplate(pages: DataFrame, host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """``pages`` (text, host, ...) with the boilerplate lines cut out of ``text``, and their number in ``n_dropped``."""
     often = boilerplate_lines(pages, host, max_ratio, min_pages).select(F.col("host").alias("__host"), F.col("lines").alias("__lines"))
+    # Written first, so that Spark knows its size before it decides whether texts must move to meet it.
+    often = Steps(pages.sparkSession).keep(often, "often")
     joined = pages.join(often, F.col(host).eqNullSafe(F.col("__host")), "left")
     split = F.split("text", "\n", -1)
     kept = F.filter(split, lambda x: ~F.array_contains(F.col("__lines"), line_key(x)))

@@ -31,10 +31,10 @@ def line_key(line: Column) -> Column:
 def boilerplate_lines(pages: DataFrame, host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """Per host the hashes (``lines``) of its boilerplate lines. Hosts without any are left out."""
     known = pages.filter(F.col("text").isNotNull()).select(F.col(host).alias("host"), "text")
-    page = F.struct(F.xxhash64("text"), F.xxhash64(F.reverse("text")))
+    page = F.struct(F.xxhash64("text").alias("hash"), F.length("text").alias("size"))
     lines = F.array_distinct(F.transform(F.filter(F.split("text", "\n", -1), lambda x: F.trim(x) != ""), line_key))
     hosts = known.select("host", page.alias("page")).distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    found = known.select("host", page.alias("page"), F.explode(lines).alias("line")).distinct()
+    found = known.select("host", page.alias("page"), lines.alias("lines")).select("host", "page", F.explode("lines").alias("line")).distinct()
     counted = found.groupBy("host", "line").agg(F.count("*").alias("found")).filter(F.col("found") >= min_pages)
     often = counted.withColumnRenamed("host", "__h").join(hosts, F.col("__h").eqNullSafe(F.col("host")))
     often = often.filter(F.col("found") > max_ratio * F.col("pages"))

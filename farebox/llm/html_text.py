@@ -106,7 +106,7 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            lines.append((text, -1 if apart else max(0, len(text) - linked), article))
+            lines.append((text, -1 if apart else max(0, len(text) - text.count(" ") - linked), article))
         parts.clear()
         linked = 0
 

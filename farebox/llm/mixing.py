@@ -46,9 +46,10 @@ def water_fill(sizes: DataFrame, weights: DataFrame, budget_ratio: float, max_ep
     rest = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
     left = F.sum("source_size").over(everything) * float(budget_ratio) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
     level = F.when(F.col("weight") > 0, F.greatest(left, F.lit(0.0)) / rest)
-    # Where a source reaches the level of its place, all before it are full, and the first such level is the one for the rest.
+    # Where a source's cap reaches the level of its place, all before it are full and the rest is not. From there on the level
+    # only falls, so the largest of these levels is that of the first such place.
     filled = joined.withColumn("fill", fill).withColumn("level", level)
-    final = F.min(F.when(F.col("fill") >= F.col("level"), F.col("level"))).over(everything)
+    final = F.max(F.when(F.col("fill") >= F.col("level"), F.col("level"))).over(everything)
     return filled.select(
         source,
         "source_size",
@@ -108,7 +109,7 @@ levels AS (
   FROM sources
   WINDOW earlier AS (ORDER BY 2.0::DOUBLE * source_size / weight, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 targets AS (
-  SELECT *, coalesce(least(cap, (min(CASE WHEN fill >= level THEN level END) OVER ()) * weight), cap) AS target FROM levels),
+  SELECT *, coalesce(least(cap, (max(CASE WHEN fill >= level THEN level END) OVER ()) * weight), cap) AS target FROM levels),
 rated AS (
   SELECT d.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
          ('0x' || substr(d.place, 1, 8))::BIGINT % t.buckets AS bucket

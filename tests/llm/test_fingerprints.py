@@ -1,0 +1,85 @@
+import hashlib
+
+import pytest
+from odd import DOCUMENTS, row, sentence
+from farebox.llm.fingerprints import bottom_k, containment, distinct_shingles, fingerprint_edits, merge, resemblance, with_fingerprint, word_hashes
+from farebox.llm.queries import QUERIES
+from pyspark.sql import functions as F
+
+
+def shingles(text):
+    words = text.lower().split()
+    if len(words) < 5:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def like(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def expected(rows):
+    rows = sorted(rows, key=lambda x: (x[0] is None, -(x[0] or 0)))
+    for k, (doc_id, text) in enumerate(rows):
+        after = rows[(k + 1) % len(rows)][1]
+        half = len(text) // 2
+        yield doc_id, text, text[: len(text) - half] + after[:half], after
+
+
+def test_documents(spark, data):
+    got = {x.doc_id: x for x in QUERIES["op9_fingerprints"](spark, data).collect()}
+    rows = [(x.doc_id, x.text or "") for x in spark.read.parquet(f"{data}/documents.parquet").collect()]
+    assert len(got) == len(rows)
+    for doc_id, text, edited, after in expected(rows):
+        x = got[doc_id]
+        assert x.n_chars == len(text)
+        assert x.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert x.near_edited == pytest.approx(like(text, edited), abs=0.18)
+        assert x.near_next == pytest.approx(like(text, after), abs=0.18)
+    by_text: dict = {}
+    assert all(by_text.setdefault(dict(rows)[i], x.fingerprint) == x.fingerprint for i, x in got.items())
+
+
+@pytest.mark.parametrize("ids", [[7], [7, 3], [k * 61 - 900 for k in range(120)], [2**62, -(2**62), 0, 5, 6, 2**33, 2**33 + 1, -1]])
+def test_next_document_over_sparse_ids(spark, ids):
+    rows = [(i, sentence(k, 12)) for k, i in enumerate(ids)]
+    got = {x.doc_id: x.edited_sha256 for x in fingerprint_edits(spark.createDataFrame([row(*x) for x in rows], DOCUMENTS)).collect()}
+    assert got == {i: hashlib.sha256(e.encode()).hexdigest() for i, _, e, _ in expected(rows)}
+
+
+def test_odd_documents(odd, no_documents):
+    rows = fingerprint_edits(odd).collect()
+    assert len(rows) == odd.count()
+    assert all(0 <= x.near_edited <= 1 and 0 <= x.near_next <= 1 for x in rows)
+    assert all((x.n_chars == 0) <= (x.fingerprint == "") for x in rows)
+    assert fingerprint_edits(no_documents).collect() == []
+
+
+def test_merging_and_estimates(spark):
+    one, two, three = sentence(1, 3000), sentence(2, 3000), sentence(3, 800)
+    parts = spark.createDataFrame([(one, two, three)], "a string, b string, c string")
+    df = parts
+    for name in "abc":
+        df = with_fingerprint(df, f"f{name}", name)
+    df = df.withColumn("ab", merge(F.col("fa"), F.col("fb"))).withColumn("ac", merge(F.col("fa"), F.col("fc")))
+    x = df.select(
+        (merge(F.col("ab"), F.col("fc")) == merge(F.col("fb"), F.col("ac"))).alias("same"),
+        distinct_shingles(F.col("ab")).alias("n"),
+        resemblance(F.col("ab"), F.col("ac")).alias("r"),
+        containment(F.col("fa"), F.col("ab")).alias("c"),
+        containment(F.col("fc"), F.col("fb")).alias("none"),
+    ).first()
+    assert x.same
+    assert x.n == pytest.approx(5992, rel=0.3)
+    assert x.r == pytest.approx(2996 / 6788, abs=0.15)
+    assert x.c > 0.8 and x.none < 0.1
+
+
+def test_small_texts_are_exact(spark):
+    df = spark.createDataFrame([("a b c d e f g", " A  b\nc d e f x"), ("", None), ("a b", "A b "), ("a", "b")], "a string, b string")
+    made = with_fingerprint(with_fingerprint(df, "fa", "a"), "fb", "b")
+    got = [tuple(x) for x in made.select(resemblance(F.col("fa"), F.col("fb")), distinct_shingles(F.col("fa"))).collect()]
+    assert got == [(0.5, 3.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)]
+    words = df.select(bottom_k(word_hashes(F.col("a"))).alias("x")).first().x
+    assert words == sorted(words)

@@ -1,0 +1,93 @@
+"""Every stage against a plain version on its own input, and the stages in a row."""
+
+import re
+
+import corpus_pipeline
+import numpy as np
+import pytest
+import sentencepiece
+from farebox.llm.queries import piece_model_path, table
+from test_ngram_join import brute_force
+
+DATA = "/root/testdata/sf0.01"
+NAMES = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """The output of every stage, the documents first."""
+    folder = tmp_path_factory.mktemp("stages")
+    docs, out = table(spark, DATA, "documents"), [table(spark, DATA, "documents")]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, DATA).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+        out.append(docs)
+    return [sorted(x.collect(), key=repr) for x in out], [x.columns for x in out]
+
+
+def test_columns(stages):
+    assert all(c == NAMES for c in stages[1][:-1])
+
+
+def test_quality_rejects_what_the_labels_reject(spark, stages):
+    quality = {x.doc_id: x.quality for x in table(spark, DATA, "labels").collect()}
+    before, after = {x.doc_id for x in stages[0][0]}, {x.doc_id for x in stages[0][1]}
+    good = [d for d in before if quality.get(d) == 1]
+    bad = [d for d in before if quality.get(d) == 0]
+    assert len([d for d in good if d in after]) >= 0.99 * len(good)
+    assert len([d for d in bad if d in after]) <= 0.1 * len(bad)
+
+
+def test_lines(stages):
+    pages: dict = {}
+    for x in stages[0][1]:
+        pages.setdefault(x.source, set()).add(x.text)
+    def boilerplate(source, line):
+        found = sum(line in {y.strip(" ") for y in t.split("\n")} for t in pages[source])
+        return line != "" and found >= 10 and found > 0.1 * len(pages[source])
+    known: dict = {}
+    want = []
+    for x in stages[0][1]:
+        lines = x.text.split("\n")
+        kept = [y for y in lines if not known.setdefault((x.source, y.strip(" ")), boilerplate(x.source, y.strip(" ")))]
+        want.append((x.doc_id, "\n".join(kept), x.lang, x.source, len("\n".join(kept))))
+    assert any(known.values())
+    assert sorted(want, key=repr) == sorted(map(tuple, stages[0][2]), key=repr)
+
+
+def test_near_copies(stages):
+    groups = brute_force([(x.doc_id, x.text) for x in stages[0][2]])
+    keep = {d for d, _, c in groups if d == c}
+    assert len(keep) < len(stages[0][2])
+    assert [tuple(x) for x in stages[0][3]] == [tuple(x) for x in stages[0][2] if x.doc_id in keep]
+
+
+def test_mixture(stages):
+    size = {x.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", x.text)) for x in stages[0][3]}
+    source = {x.doc_id: x.source for x in stages[0][3]}
+    taken: dict = {}
+    for x in stages[0][4]:
+        assert tuple(x) in {tuple(y) for y in stages[0][3]} if x.doc_id % 50 == 0 else True
+        taken[x.doc_id] = taken.get(x.doc_id, 0) + 1
+    assert max(taken.values()) == 2
+    total = sum(size.values())
+    assert sum(size[d] * n for d, n in taken.items()) == pytest.approx(1.5 * total, rel=0.05)
+    assert set(source[d] for d in taken) == set(source.values())
+
+
+def test_tokens(stages):
+    library = sentencepiece.SentencePieceProcessor(model_file=piece_model_path())
+    want = [np.array(library.encode(x.text, add_bos=True, add_eos=True), "<u4").tobytes() for x in stages[0][4]]
+    assert sorted(want) == sorted(bytes(x.ids) for x in stages[0][5])
+
+
+def test_run(spark, stages):
+    rows = corpus_pipeline.run(spark, DATA).collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, stages[0][5]))
+
+
+def test_stages_take_odd_documents(spark, odd, no_documents, data):
+    for docs in (odd.select("doc_id", "text", "lang", "source", "n_chars", "score", "copies"), no_documents.select(*NAMES)):
+        for _, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, data)
+            assert out.count() <= 2 * docs.count() + 1

@@ -12,11 +12,12 @@ shorter text is one shingle of all its words). Texts link when 100 * intersectio
    among its first n - t + 1 with any partner, t = ceil(0.8 n); more generally l common ones among its first n - t + l.
    Each class picks the l from 1 to 8 with the least estimated cost (postings read, plus verifications of the classes that share l
    of them). Two classes are candidates if they share at least the smaller l of the two.
-4. ``Stars``: for every prefix shingle, the first class of similar size leads; each class is verified against the leader it
-   shares most with. Large groups of near copies fall together here, with one comparison for each class.
+4. ``Stars``: for every prefix shingle, a class of similar size with few shingles of its own leads (an original rather than an edited
+   copy); each class is verified against the leader it shares most with. Large groups of near copies fall together here, with one
+   comparison for each class.
 5. ``Rest``: where a prefix shingle still joins classes of different components, all those pairs with enough common prefix
    shingles are verified. Pairs within a component are never made, and no link between components is lost.
-   
+
 Shingles are compared by 48 bits of their hashes, which two unrelated texts of 1,000 words agree in with a chance of 1 to 280 million.
 
 Nulls, empty texts and texts without words have no shingles: ``n_shingles`` 0, linked with nothing. Repeated rows and equal texts are in one
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farebox.llm.buffers import by_text, lower_ascii, run_hashes, slices, span_hashes, text_bytes, word_spans
@@ -222,7 +223,10 @@ def matches_needed(n: int, counts: np.ndarray) -> tuple[int, int]:
 
 
 def prefixes(shared: DataFrame) -> DataFrame:
-    """Per class that may have partners: (key, n, need, prefix, tokens); ``tokens`` are all its shared shingles, packed."""
+    """Per class that may have partners: (key, n, need, shared, rest, prefix, tokens).
+
+    ``tokens`` are all its shared shingles, packed, ``shared`` is their number, and ``rest`` how many lie behind the prefix.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, sizes, tokens, counts = [], [], [], []
@@ -243,7 +247,8 @@ def prefixes(shared: DataFrame) -> DataFrame:
             n = int(size[start])
             need, length = matches_needed(n, count[start:stop])
             if need:
-                rows.append((int(key[start]), n, need, token[start : start + length].tolist(), short(np.sort(token[start:stop]).view(np.uint64) << np.uint64(16))))
+                own = np.sort(token[start:stop]).view(np.uint64) << np.uint64(16)
+                rows.append((int(key[start]), n, need, stop - start, stop - start - length, token[start : start + length].tolist(), short(own)))
             if len(rows) == 512:
                 yield made(rows)
                 rows = []
@@ -251,11 +256,12 @@ def prefixes(shared: DataFrame) -> DataFrame:
             yield made(rows)
 
     def made(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+        kinds = [*[pa.int64()] * 5, pa.list_(pa.int64()), pa.binary()]
         columns = zip(*rows, strict=True)
-        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "n", "need", "prefix", "tokens"])
+        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    return shared.mapInArrow(run, "key long, n long, need long, prefix array<long>, tokens binary")
+    names = ["key", "n", "need", "shared", "rest", "prefix", "tokens"]
+    return shared.mapInArrow(run, "key long, n long, need long, shared long, rest long, prefix array<long>, tokens binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -283,27 +289,57 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return fitting.join(one, "a").join(two, "b").select("a", "b", "n", "m", "tokens", "other").mapInArrow(run, "a long, b long")
 
 
+def overlap_needed(n: str, m: str) -> Column:
+    return F.ceil(PERCENT * (F.col(n) + F.col(m)) / (100 + PERCENT))
+
+
 def star_pairs(postings: DataFrame, steps: Steps) -> DataFrame:
-    """For each class the leader that it shares most prefix shingles with."""
+    """For each class the leader that it shares most prefix shingles with.
+
+    Among classes of similar size that share a shingle, the one leads whose own shingles are least (an original rather than an
+    edited copy), and the smallest key among such.
+    """
     kind = F.floor(F.log("n") / F.log(F.lit(100 / PERCENT))).cast("long")
-    sorted_by = postings.select("token", "key", kind.alias("kind"))
-    leaders = steps.keep(sorted_by.groupBy("token", "kind").agg(F.min("key").alias("leader"), F.count("*").alias("rows")).filter("rows > 1").drop("rows"), "leaders")
-    led = sorted_by.join(leaders, ["token", "kind"]).filter("key <> leader").groupBy("key", "leader").agg(F.count("*").alias("times"))
+    own = (F.col("n") - F.col("shared")) / F.col("n")
+    sorted_by = postings.select("token", "key", "n", "shared", kind.alias("kind"), own.alias("own"))
+    leader = F.min(F.struct("own", "key", F.col("n").alias("m"), F.col("shared").alias("shared2"))).alias("leader")
+    leaders = sorted_by.groupBy("token", "kind").agg(leader, F.count("*").alias("rows")).filter("rows > 1")
+    leaders = steps.keep(leaders.select("token", "kind", F.col("leader.key").alias("leader"), "leader.m", "leader.shared2"), "leaders")
+    led = sorted_by.join(leaders, ["token", "kind"]).filter("key <> leader")
+    led = led.filter(F.least("shared", "shared2") >= overlap_needed("n", "m")).groupBy("key", "leader").agg(F.count("*").alias("times"))
     best = led.groupBy("key").agg(F.max(F.struct("times", -F.col("leader"))).alias("best"))
     return best.select(F.col("key").alias("a"), (-F.col("best.col2")).alias("b"))
 
 
-def rest_pairs(postings: DataFrame, labels: DataFrame, steps: Steps) -> DataFrame:
-    """Pairs of classes in different components that share enough prefix shingles."""
+def open_postings(postings: DataFrame, labels: DataFrame, steps: Steps) -> DataFrame:
+    """The postings of the shingles that still join different components, with the class's ``label`` and the ``main`` one.
+
+    The main component of a shingle is the one that most of its classes are in.
+    """
     named = postings.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
     named = steps.keep(named, "named")
-    mixed = named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("token")
-    open_rows = steps.keep(named.join(steps.keep(mixed, "mixed"), "token"), "open")
-    other = open_rows.select("token", *[F.col(c).alias(f"{c}2") for c in ("key", "n", "need", "label")])
-    fits = (F.col("key") < F.col("key2")) & (F.col("label") != F.col("label2"))
+    sizes = named.groupBy("token", "label").agg(F.count("*").alias("rows"))
+    mixed = sizes.groupBy("token").agg(F.max(F.struct("rows", "label")).alias("top"), F.count("*").alias("labels")).filter("labels > 1")
+    mixed = steps.keep(mixed.select("token", F.col("top.label").alias("main")), "mixed")
+    return steps.keep(named.join(mixed, "token"), "open")
+
+
+def rest_pairs(open_rows: DataFrame) -> DataFrame:
+    """Pairs of classes in different components that share enough prefix shingles.
+
+    One of the two is outside of the main component, so a large component costs one comparison for each class outside it.
+    Behind the prefix that ends first, no more than that class's ``rest`` can be common.
+    """
+    columns = ("key", "n", "need", "shared", "rest", "label")
+    other = open_rows.select("token", *[F.col(c).alias(f"{c}2") for c in columns], (F.col("label") == F.col("main")).alias("in_main"))
+    fits = (F.col("label") != F.col("label2")) & (F.col("in_main") | (F.col("key") < F.col("key2")))
     fits &= 100 * F.least("n", "n2") >= PERCENT * F.greatest("n", "n2")
-    both = open_rows.join(other, "token").filter(fits).groupBy("key", "key2").agg(F.count("*").alias("times"), F.first(F.least("need", "need2")).alias("need"))
-    return both.filter("times >= need").select(F.col("key").alias("a"), F.col("key2").alias("b"))
+    fits &= F.least("shared", "shared2") >= overlap_needed("n", "n2")
+    least = F.greatest(F.least("need", "need2"), overlap_needed("n", "n2") - F.greatest("rest", "rest2"))
+    joined = open_rows.filter("label <> main").join(other, "token").filter(fits)
+    low, high = F.least("key", "key2").alias("a"), F.greatest("key", "key2").alias("b")
+    both = joined.groupBy(low, high).agg(F.count("*").alias("times"), F.first(least).alias("least"))
+    return both.filter("times >= least").select("a", "b")
 
 
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
@@ -323,10 +359,10 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     ranges = token_rows(docs, parts, sent).repartitionById(parts, "part")
     shared = shared_rows(ranges, parts).repartitionById(parts, "part")
     sets = steps.keep(prefixes(shared), "sets")
-    postings = steps.keep(sets.select(F.explode("prefix").alias("token"), "key", "n", "need"), "postings")
+    postings = steps.keep(sets.select(F.explode("prefix").alias("token"), "key", "n", "need", "shared", "rest"), "postings")
     links = steps.keep(verified(star_pairs(postings, steps), sets), "star-links")
     labels = components(links, steps, "stars")
-    more = steps.keep(verified(rest_pairs(postings, labels, steps), sets), "rest-links")
+    more = steps.keep(verified(rest_pairs(open_postings(postings, labels, steps)), sets), "rest-links")
     if not more.isEmpty():
         named = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
         ends = more.join(named, "a", "left").join(named.toDF("b", "lb"), "b", "left")

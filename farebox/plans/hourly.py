@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from farebox.functions import great_circle_km, great_circle_km_arrow, whole_seconds
 from farebox.operators.aggregates import (
-    approx_percentile,
-    bounded_sketches,
     histogram,
     histogram_percentile,
+    percentile_by,
     row_count,
 )
 from farebox.operators.filters import in_report_hours, positive, valid_point
@@ -20,6 +19,16 @@ from farebox.operators.projection import with_hour_label
 from farebox.operators.ranking import in_order
 from farebox.params import ReportWindow
 
+# Columns of a GPS trip that this report cannot do without.
+HOURLY_NEEDS = [
+    "pickup_datetime",
+    "dropoff_datetime",
+    "pickup_latitude",
+    "pickup_longitude",
+    "dropoff_latitude",
+    "dropoff_longitude",
+]
+
 Distance = Callable[[Column, Column, Column, Column], Column]
 
 
@@ -38,10 +47,16 @@ def _measured(trips: DataFrame, window: ReportWindow, distance: Distance) -> Dat
 
 
 def _profile(trips: DataFrame, window: ReportWindow, distance: Distance) -> DataFrame:
-    per_hour = bounded_sketches(_measured(trips, window, distance)).groupBy("hour_of_day").agg(
-        row_count().alias("Trips"),
-        F.avg("minutes").alias("AvgDurationMin"),
-        approx_percentile(F.col("km")).alias("P90HaversineKm"),
+    tails = percentile_by(
+        _measured(trips, window, distance),
+        ["hour_of_day"],
+        "km",
+        "P90HaversineKm",
+        Trips=(row_count(), F.sum("Trips")),
+        minutes=(F.sum("minutes"), F.sum("minutes")),
+    )
+    per_hour = tails.select(
+        "hour_of_day", "Trips", (F.col("minutes") / F.col("Trips")).alias("AvgDurationMin"), "P90HaversineKm"
     )
     return with_hour_label(in_order(per_hour, "hour_of_day"))
 

@@ -7,13 +7,13 @@ from collections import defaultdict
 import pytest
 from farebox.functions import finite, great_circle_km, great_circle_km_arrow, ratio
 from farebox.operators.aggregates import (
-    approx_percentile,
-    bounded_sketches,
+    first_run_mean,
     histogram,
     histogram_percentile,
     imbalance,
     mean_ratio,
     min_avg_max,
+    percentile_by,
     share,
     sum_or_zero,
 )
@@ -24,11 +24,11 @@ from farebox.operators.joins import (
     lookup,
     measured_bytes,
     merge_all,
-    strategy_labels,
 )
 from farebox.operators.projection import in_role, text_keys, with_defaults, with_revenue_defaults
 from farebox.operators.ranking import running_total, top_overall, top_per_group
 from farebox.params import ReportWindow
+from joinplans import strategy_labels
 from pyspark.sql import functions as F
 
 
@@ -53,12 +53,13 @@ def test_top_overall_and_first_rows(spark):
 
 
 def test_histogram_edges_and_overflow(spark):
-    values = [0.0, 0.4999, 0.5, 0.9999, 499.9, 500.0, 777.0, 20000.0, None]
-    df = spark.createDataFrame([(1, v) for v in values], "k int, v double")
-    bins = {r.bin: r.rows for r in histogram(df, ["k"], "v").collect()}
-    assert bins == {0: 2, 1: 2, 999: 1, 1000: 3}
+    outside = [None, float("nan"), float("inf"), float("-inf"), -1e300, -500_000.0, -3.0, -1e-9]
+    values = [0.0, 0.4999, 0.5, 0.9999, 499.9, 500.0, 777.0, 20000.0, 1e300, -0.0, *outside]
+    df = spark.createDataFrame([(1, v) for v in values] + [(2, v) for v in outside], "k int, v double")
+    bins = {(r.k, r.bin): r.rows for r in histogram(df, ["k"], "v").collect()}
+    assert bins == {(1, 0): 3, (1, 1): 2, (1, 999): 1, (1, 1000): 4}
     row = histogram_percentile(histogram(df, ["k"], "v"), ["k"]).first()
-    assert (row.rows, row.percentile) == (8, 500.0)
+    assert (row.rows, row.percentile) == (10, 500.0)
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -75,15 +76,22 @@ def test_histogram_percentile(spark, seed):
         assert got[key] == (len(members), min(math.floor(nth / 0.5), 1000) * 0.5)
 
 
-def test_approximate_percentile_is_a_value_of_nearly_the_right_rank(spark, monkeypatch):
-    monkeypatch.setattr("farebox.operators.aggregates.SKETCH_TASKS", 3)
-    df = spark.range(0, 50_000, 1, 16).select((F.col("id") % 2).alias("k"), (F.col("id") * 7919 % 50_000).alias("v"))
-    few = bounded_sketches(df)
-    assert few.rdd.getNumPartitions() == 3
-    got = few.groupBy("k").agg(approx_percentile(F.col("v")).alias("p"), F.count("v").alias("n")).collect()
-    for row in got:
-        values = sorted(n * 7919 % 50_000 for n in range(50_000) if n % 2 == row.k)
-        assert row.n == 25_000 and abs(values.index(row.p) - 0.9 * 25_000) <= 25_000 / 10_000 + 1
+@pytest.mark.parametrize("parts", [1, 40])
+def test_percentile_is_a_value_of_nearly_the_right_rank(spark, parts):
+    """Nearly all rows are in one group; many tasks share the salts."""
+    n = 60_000
+    key, value = F.when(F.col("id") % 100 == 0, 1).otherwise(0).alias("k"), (F.col("id") * 7919 % n).cast("double").alias("v")
+    df = spark.range(0, n, 1, parts).select(key, value)
+    counted = percentile_by(df, ["k"], "v", "p", n=(F.count("v"), F.sum("n")))
+    for row in counted.collect():
+        values = sorted(i * 7919 % n for i in range(n) if (i % 100 == 0) == row.k)
+        off = abs(values.index(row.p) + 1 - math.ceil(0.9 * len(values)))
+        assert row.n == len(values) and off <= (0 if len(values) < 8192 else 0.001 * len(values))
+
+
+def test_percentile_of_groups_without_values(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (2, 5.0), (2, None), (None, 7.0)], "k int, v double")
+    assert {r.k: r.p for r in percentile_by(df, ["k"], "v", "p").collect()} == {1: None, 2: 5.0, None: 7.0}
 
 
 def test_running_total(spark):
@@ -120,11 +128,19 @@ def test_imbalance(spark, p, d, expected):
     assert df.select(imbalance(F.col("p"), F.col("d"))).first()[0] == expected
 
 
-def test_min_avg_max_text_is_rounded_as_python_does(spark):
-    df = spark.createDataFrame([("q", 48.07575), ("r", 1.0), ("r", 2.0)], "k string, v double")
+def test_min_avg_max_text(spark):
+    df = spark.createDataFrame([("q", 48.07575), ("r", 1.0), ("r", 2.0), ("s", None), ("t", -0.00005)], "k string, v double")
     got = {r.k: (r.min_s, r.avg_s, r.max_s, r.stats) for r in min_avg_max(df, ["k"], "v").collect()}
-    assert got["q"][3] == f"min={48.07575:.4f}s avg={48.07575:.4f}s max={48.07575:.4f}s"
+    half = math.floor(48.07575 * 10000 + 0.5) / 10000
+    assert got["q"][3] == f"min={half:.4f}s avg={half:.4f}s max={half:.4f}s"
     assert got["r"] == (1.0, 1.5, 2.0, "min=1.0000s avg=1.5000s max=2.0000s")
+    assert got["s"] == (None, None, None, None)
+
+
+def test_first_run_mean(spark):
+    rows = [("a", 1, 2.0), ("a", 1, 4.0), ("a", 2, 90.0), ("b", 2, 1.0), ("c", 1, None)]
+    df = spark.createDataFrame(rows, "label string, run int, s double")
+    assert sorted(map(tuple, first_run_mean(df, "label", "s", "run").collect())) == [("a", 3.0, 2), ("c", None, 1)]
 
 
 def test_distance_forms_agree_and_survive_extremes(spark):
@@ -229,16 +245,22 @@ def test_join_strategies(spark, how, strategy, salt_by, label):
         assert strategy_labels(joined) == [label]
 
 
-def test_broadcast_falls_back_beyond_the_limit(spark, monkeypatch):
+def test_broadcast_beyond_the_limit_is_an_error(spark, monkeypatch):
     fact = spark.createDataFrame(FACT, "n int, k int")
     dim = spark.createDataFrame(DIM, "k int, name string")
     size = measured_bytes(dim)
     assert 4 * 8 < size < 1000
-    monkeypatch.setattr("farebox.operators.joins.BROADCAST_LIMIT_BYTES", size - 1)
-    joined = join_with_strategy(fact, dim, "k", strategy="broadcast")
-    assert sorted(map(tuple, joined.collect()), key=repr) == brute_force_left(True)
-    assert strategy_labels(joined) == ["MERGE"]
     assert measured_bytes(dim.where("k > 100")) == 0
+    monkeypatch.setattr("farebox.operators.joins.BROADCAST_LIMIT_BYTES", size - 1)
+    with pytest.raises(ValueError, match=f"{size} bytes.*limit of {size - 1}"):
+        join_with_strategy(fact, dim, "k", strategy="broadcast")
+
+
+def test_every_type_is_measured(spark):
+    wide = "k int, b binary, a array<string>, m map<string,binary>, s struct<x: string, y: array<int>>, d decimal(20,2)"
+    rows = [(1, b"x" * 100_000, ["y" * 50] * 1000, {"z": b"w" * 10_000}, ("v" * 5000, [1, 2]), None), (2, *[None] * 5)]
+    df = spark.createDataFrame(rows, wide)
+    assert 165_000 < measured_bytes(df) < 200_000
 
 
 def test_join_arguments_are_checked(spark):

@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from farebox import ReportWindow, plans  # noqa: E402
-from farebox.driver_queries import HOURLY_NEEDS, TIP_NEEDS, write_raw_tables  # noqa: E402
+from farebox.driver_queries import write_raw_tables  # noqa: E402
+from farebox.plans import HOURLY_NEEDS, TIP_NEEDS  # noqa: E402
 from farebox.plans.event_trips import event_trips, nation_zones  # noqa: E402
 from farebox.sources import (  # noqa: E402
     GPS_TRIPS,

@@ -26,12 +26,12 @@ from farebox.functions import (
     stripped,
 )
 from farebox.operators.aggregates import (
-    approx_percentile,
-    bounded_sketches,
+    first_run_mean,
     histogram,
     imbalance,
     mean_ratio,
     min_avg_max,
+    percentile_by,
     row_count,
     share,
     sum_or_zero,
@@ -55,6 +55,7 @@ from farebox.operators.projection import (
 )
 from farebox.operators.ranking import running_total, top_overall, top_per_group
 from farebox.params import ReportWindow
+from farebox.plans import HOURLY_NEEDS, TIP_NEEDS
 from farebox.plans.event_trips import event_trips, nation_zones, read_table
 from farebox.sources import (
     GPS_TRIPS,
@@ -68,8 +69,10 @@ from farebox.sources import (
     load_tables,
     maybe_cache,
     register_views,
+    release,
     scan_csv,
     scan_csv_rows,
+    scan_parquet,
     scan_tolerant,
     scratch_path,
     write_csv_result,
@@ -388,6 +391,27 @@ def src_parquet_clean(spark: SparkSession, folder: str) -> DataFrame:
     return trip_summary(load_table(spark, path, ZONED_TRIPS, "parquet"))
 
 
+@query("src_parquet_unpartitioned", FLOWS_SQL)
+def src_parquet_unpartitioned(spark: SparkSession, folder: str) -> DataFrame:
+    """Q3 over one plain Parquet table; its dates are told by the pickup time."""
+    path = scratch_path(spark, "plain-parquet")
+    write_parquet(event_trips(spark, folder).drop("pickup_date"), path)
+    trips = load_table(spark, path, ZONED_TRIPS, "parquet")
+    return plans.zone_flows(trips, nation_zones(spark, folder), WINDOW)
+
+
+@query("src_parquet_zone_aware", FLOWS_SQL)
+def src_parquet_zone_aware(spark: SparkSession, folder: str) -> DataFrame:
+    """Q3 over a table whose times are stored as instants; their wall clock is that of UTC."""
+    path = scratch_path(spark, "instants")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    trips = event_trips(spark, folder)
+    stamps = {c: F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, c)) for c in ("pickup_datetime", "dropoff_datetime")}
+    write_parquet(trips.withColumns(stamps).drop("pickup_date"), path)
+    loaded = load_table(spark, path, ZONED_TRIPS, "parquet")
+    return plans.zone_flows(loaded, nation_zones(spark, folder), WINDOW)
+
+
 @query(
     "src_format_parity",
     f"""
@@ -442,17 +466,6 @@ def broken_lines(spark: SparkSession, folder: str) -> str:
     return path
 
 
-HOURLY_NEEDS = [
-    "pickup_datetime",
-    "dropoff_datetime",
-    "pickup_latitude",
-    "pickup_longitude",
-    "dropoff_latitude",
-    "dropoff_longitude",
-]
-TIP_NEEDS = ["vendor_id", "pickup_datetime", "trip_distance", "fare_amount", "tip_amount"]
-
-
 @query(
     "src_text_tolerant",
     f"""
@@ -533,7 +546,10 @@ def src_cached_reuse(spark: SparkSession, folder: str) -> DataFrame:
     )
     by_vendor = rolled.groupBy("vendor_id").agg(F.sum("fares").alias("vendor_fares"))
     busiest = rolled.groupBy("vendor_id").agg(F.max("trips").alias("busiest_hour_trips"))
-    return rounded(by_vendor.join(busiest, "vendor_id"), 4)
+    path = scratch_path(spark, "cached")
+    write_parquet(rounded(by_vendor.join(busiest, "vendor_id"), 4), path)
+    release(rolled)
+    return scan_parquet(spark, path)
 
 
 @query(
@@ -828,32 +844,33 @@ def join_after_agg(spark: SparkSession, folder: str) -> DataFrame:
     "join_full_outer",
     f"""
 {WITH_ZONED}, p AS (
-  SELECT location_id, borough, zone, count(*) AS pickups
+  SELECT location_id, borough, zone, strftime(pickup_datetime, '%Y-%m-%d %H') AS hour, count(*) AS pickups
   FROM trips LEFT JOIN zones ON pu_location_id = location_id GROUP BY ALL
 ), d AS (
-  SELECT location_id, borough, zone, count(*) AS dropoffs
-  FROM trips LEFT JOIN zones ON do_location_id = location_id AND do_location_id % 2 = 0 GROUP BY ALL
+  SELECT location_id, borough, zone, strftime(pickup_datetime, '%Y-%m-%d %H') AS hour, count(*) AS dropoffs
+  FROM trips LEFT JOIN zones ON do_location_id = location_id GROUP BY ALL
 )
-SELECT location_id, borough, zone, coalesce(pickups, 0) AS pickups, coalesce(dropoffs, 0) AS dropoffs
-FROM p FULL OUTER JOIN d USING (location_id, borough, zone)
+SELECT location_id, borough, zone, hour, coalesce(pickups, 0) AS pickups, coalesce(dropoffs, 0) AS dropoffs
+FROM p FULL OUTER JOIN d USING (location_id, borough, zone, hour)
 """,
 )
 def join_full_outer(spark: SparkSession, folder: str) -> DataFrame:
-    """Dropoffs are named for even zone ids only, so that both sides have rows of their own.
+    """Pickups and dropoffs per zone and hour; many hours of a zone have only one of them.
 
     The rows without a zone (NULL keys) of the two sides never match.
     """
-    trips, zones = event_trips(spark, folder), nation_zones(spark, folder)
+    trips = event_trips(spark, folder)
+    known = nation_zones(spark, folder).select("location_id", "borough", "zone")
+    hour = F.date_format("pickup_datetime", "yyyy-MM-dd HH").alias("hour")
 
-    def counted(column: str, known: DataFrame, name: str) -> DataFrame:
-        per_zone = trips.groupBy(F.col(column).alias("id")).agg(row_count().alias("n"))
+    def counted(column: str, name: str) -> DataFrame:
+        per_zone = trips.groupBy(F.col(column).alias("id"), hour).agg(row_count().alias("n"))
         named = per_zone.join(known, F.col("id") == F.col("location_id"), "left")
-        return named.groupBy("location_id", "borough", "zone").agg(F.sum("n").alias(name))
+        return named.groupBy("location_id", "borough", "zone", "hour").agg(F.sum("n").alias(name))
 
-    known = zones.select("location_id", "borough", "zone")
-    pickups = counted("pu_location_id", known, "pickups")
-    dropoffs = counted("do_location_id", known.where(F.col("location_id") % 2 == 0), "dropoffs")
-    merged = merge_all(pickups, dropoffs, ["location_id", "borough", "zone"])
+    merged = merge_all(
+        counted("pu_location_id", "pickups"), counted("do_location_id", "dropoffs"), ["location_id", "borough", "zone", "hour"]
+    )
     return merged.na.fill(0, ["pickups", "dropoffs"])
 
 
@@ -964,8 +981,8 @@ def agg_avg_by_key(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("agg_percentile_approx", per_hour_sql("round(quantile_disc(fare_amount, 0.9), 6) AS p90_fare"))
 def agg_percentile_approx(spark: SparkSession, folder: str) -> DataFrame:
-    fares = bounded_sketches(event_trips(spark, folder).select("pickup_datetime", "fare_amount"))
-    return per_hour(fares, approx_percentile(F.col("fare_amount")).alias("p90_fare"))
+    fares = event_trips(spark, folder).select(F.hour("pickup_datetime").alias("hour_of_day"), "fare_amount")
+    return rounded(percentile_by(fares, ["hour_of_day"], "fare_amount", "p90_fare"))
 
 
 @query(
@@ -973,7 +990,7 @@ def agg_percentile_approx(spark: SparkSession, folder: str) -> DataFrame:
     f"""
 {WITH_TRIPS}
 SELECT vendor_id, least(CAST(floor(fare_amount / 0.5e0) AS INTEGER), 1000) AS bin, count(*) AS rows
-FROM trips WHERE fare_amount IS NOT NULL GROUP BY ALL
+FROM trips WHERE fare_amount >= 0 AND isfinite(fare_amount) GROUP BY ALL
 """,
 )
 def agg_histogram(spark: SparkSession, folder: str) -> DataFrame:
@@ -1051,7 +1068,9 @@ def agg_global_count(spark: SparkSession, folder: str) -> DataFrame:
   FROM trips GROUP BY ALL
 )
 SELECT event_type, hour_of_day, round(min_s, 6) AS min_s, round(avg_s, 6) AS avg_s, round(max_s, 6) AS max_s,
-       printf('min=%.4fs avg=%.4fs max=%.4fs', min_s, avg_s, max_s) AS stats
+       CASE WHEN min_s IS NOT NULL THEN
+         printf('min=%.4fs avg=%.4fs max=%.4fs', floor(min_s * 10000 + 0.5e0) / 10000, floor(avg_s * 10000 + 0.5e0) / 10000,
+                floor(max_s * 10000 + 0.5e0) / 10000) END AS stats
 FROM spread
 """,
 )
@@ -1071,10 +1090,7 @@ GROUP BY event_type
 )
 def agg_first_run(spark: SparkSession, folder: str) -> DataFrame:
     """Mean per label over the records of the first run, with the vendor as run number."""
-    first = event_trips(spark, folder).where(F.col("vendor_id") == 1)
-    return rounded(
-        first.groupBy("event_type").agg(F.avg("fare_amount").alias("avg_s"), row_count().alias("runs"))
-    )
+    return rounded(first_run_mean(event_trips(spark, folder), "event_type", "fare_amount", run="vendor_id"))
 
 
 @query(
@@ -1135,7 +1151,7 @@ def win_topk_row_number(spark: SparkSession, folder: str) -> DataFrame:
     f"""
 {WITH_TRIPS}, bins AS (
   SELECT hour_of_day, least(CAST(floor(fare_amount / 0.5e0) AS INTEGER), 1000) AS bin, count(*) AS rows
-  FROM trips WHERE fare_amount IS NOT NULL GROUP BY ALL
+  FROM trips WHERE fare_amount >= 0 AND isfinite(fare_amount) GROUP BY ALL
 )
 SELECT hour_of_day, bin, rows, CAST(sum(rows) OVER (PARTITION BY hour_of_day ORDER BY bin) AS BIGINT) AS reached
 FROM bins

@@ -5,6 +5,7 @@ from farebox.functions.clock import (
     hour_label,
     iso_day,
     parse_stamp,
+    utc_clock,
     whole_seconds,
 )
 from farebox.functions.geo import great_circle_km, great_circle_km_arrow
@@ -25,5 +26,6 @@ __all__ = [
     "ratio",
     "spaced_stamp",
     "stripped",
+    "utc_clock",
     "whole_seconds",
 ]

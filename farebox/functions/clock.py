@@ -22,6 +22,11 @@ def parse_stamp(text: Column) -> Column:
     return F.when(cleaned.rlike(STAMP_PATTERN), cleaned.try_cast("timestamp_ntz"))
 
 
+def utc_clock(moment: Column) -> Column:
+    """Wall clock in UTC of a stored zone-aware timestamp, whatever the session's zone is."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(moment), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def whole_seconds(start: Column, end: Column) -> Column:
     """Elapsed seconds; both ends are cut to whole seconds first."""
     return F.unix_timestamp(end) - F.unix_timestamp(start)

@@ -6,11 +6,9 @@ other queries of the session keep their plans.
 
 from __future__ import annotations
 
-import contextlib
-import io
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,15 +19,6 @@ STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
 # Largest side that may be sent whole to every executor.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
-# Physical join operator -> label of the join-strategy vocabulary.
-STRATEGY_LABELS = {
-    "BroadcastHashJoin": "BROADCAST",
-    "SortMergeJoin": "MERGE",
-    "ShuffledHashJoin": "SHUFFLE_HASH",
-    "BroadcastNestedLoopJoin": "BROADCAST_NL",
-    "CartesianProduct": "SHUFFLE_REPLICATE_NL",
-}
-
 
 def lookup(fact: DataFrame, dimension: DataFrame, key: str, required: Sequence[str] = ()) -> DataFrame:
     """Left lookup of dimension attributes.
@@ -55,14 +44,22 @@ def first_rows(dimension: DataFrame, key: str, count: int) -> DataFrame:
     return dimension.orderBy(key).limit(count)
 
 
+def _width(field: T.StructField) -> Column:
+    """Bytes of one value: its own length for text and binary, that of its JSON form for nested values."""
+    value = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType | T.BinaryType):
+        length = F.octet_length(value)
+    elif isinstance(field.dataType, T.ArrayType | T.MapType | T.StructType | T.VariantType):
+        length = F.octet_length(F.to_json(F.struct(value)))
+    else:
+        length = F.lit(16)
+    return F.coalesce(length, F.lit(0)).cast("long")
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Estimated in-memory size of a table, summed on the executors in one job."""
     row_overhead = 32
-    widths = [
-        F.coalesce(F.octet_length(field.name), F.lit(0)) if isinstance(field.dataType, T.StringType) else F.lit(8)
-        for field in df.schema.fields
-    ]
-    row_width = sum(widths, F.lit(row_overhead)).cast("long")
+    row_width = sum((_width(field) for field in df.schema.fields), F.lit(row_overhead).cast("long"))
     return df.agg(F.coalesce(F.sum(row_width), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
@@ -73,15 +70,17 @@ def join_with_strategy(
     how: str = "left",
     strategy: str = "auto",
     salt_by: Sequence[str] = (),
-    salts: int = 16,
+    salts: int | None = None,
 ) -> DataFrame:
     """Equi-join (inner or left) by the chosen strategy.
 
-    ``broadcast`` measures the right side first and falls back to ``merge``
-    beyond ``BROADCAST_LIMIT_BYTES``. The shuffled strategies spread one hot key
-    over ``salts`` tasks when ``salt_by`` names left columns to derive the salt
-    from; the right side is repeated once per salt. The salt is a hash, so a
-    task that runs again sends each row to the same place.
+    ``broadcast`` measures the right side first and raises beyond
+    ``BROADCAST_LIMIT_BYTES``; the caller then chooses another strategy. The
+    shuffled strategies spread one hot key over ``salts`` tasks (one per shuffle
+    partition unless told otherwise) when ``salt_by`` names left columns to
+    derive the salt from; the right side is repeated once per salt. The salt is
+    a hash, so a task that runs again sends each row to the same place. Without
+    ``salt_by`` a hot key is left to adaptive execution, which splits it.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown join strategy {strategy!r}; choose from {', '.join(STRATEGIES)}")
@@ -92,21 +91,14 @@ def join_with_strategy(
     if strategy == "auto":
         return left.join(right, on=key, how=how).select(*columns)
     if strategy == "broadcast":
-        if measured_bytes(right) <= BROADCAST_LIMIT_BYTES:
-            return left.join(F.broadcast(right), on=key, how=how).select(*columns)
-        strategy = "merge"
+        size = measured_bytes(right)
+        if size > BROADCAST_LIMIT_BYTES:
+            raise ValueError(f"the side to broadcast has {size} bytes, more than the limit of {BROADCAST_LIMIT_BYTES}")
+        return left.join(F.broadcast(right), on=key, how=how).select(*columns)
     if not salt_by:
         return left.join(right.hint(strategy), on=key, how=how).select(*columns)
 
+    salts = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
     repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated.hint(strategy), on=[key, "_salt"], how=how).select(*columns)
-
-
-def strategy_labels(df: DataFrame) -> list[str]:
-    """Join strategies named in the plan of ``df``; final after an action on it."""
-    text = io.StringIO()
-    with contextlib.redirect_stdout(text):
-        df.explain()
-    plan = text.getvalue().split("== Initial Plan ==")[0]
-    return sorted({label for operator, label in STRATEGY_LABELS.items() if operator in plan})

@@ -21,6 +21,9 @@ REVENUE_COLUMNS = (
     "total_amount",
 )
 
+# Key in the metadata of a column that follows from others.
+DERIVED = "farebox_derived"
+
 
 def with_defaults(df: DataFrame, names: Iterable[str], value: float = 0.0) -> DataFrame:
     """Adds the named double columns that the table lacks; existing ones stay."""
@@ -46,7 +49,13 @@ def with_pickup_date(df: DataFrame) -> DataFrame:
     """Adds ``pickup_date`` (a date) unless the table carries one."""
     if "pickup_date" in df.columns:
         return df
-    return df.withColumn("pickup_date", F.to_date("pickup_datetime"))
+    day = F.to_date("pickup_datetime").alias("pickup_date", metadata={DERIVED: True})
+    return df.select("*", day)
+
+
+def is_derived(df: DataFrame, name: str) -> bool:
+    """Whether a column was added by this library rather than read."""
+    return bool(df.schema[name].metadata.get(DERIVED))
 
 
 def in_role(dimension: DataFrame, columns: Mapping[str, str]) -> DataFrame:

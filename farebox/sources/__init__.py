@@ -7,6 +7,7 @@ from farebox.sources.files import (
     load_tables,
     maybe_cache,
     register_views,
+    release,
     scan_csv,
     scan_csv_rows,
     scan_parquet,
@@ -30,6 +31,7 @@ __all__ = [
     "load_tables",
     "maybe_cache",
     "register_views",
+    "release",
     "scan_csv",
     "scan_csv_rows",
     "scan_parquet",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.functions import finite
+from farebox.operators.projection import is_derived, with_pickup_date
 from farebox.sources.layouts import GPS_TRIPS, ZONED_TRIPS, ZONES, Layout, conform
 
 # Folder names of the converted tables.
@@ -56,9 +57,18 @@ def scan_tolerant(spark: SparkSession, path: str, layout: Layout, needed: Sequen
     """CSV scan that skips short and unparseable lines.
 
     A line counts as broken when one of the ``needed`` clean columns is missing,
-    is no number or time, or is NaN or infinite.
+    is no number or time, or is NaN or infinite. The needed columns pass through
+    a one-row array, below which no filter on them is pushed: each text is
+    parsed once, for the filters here and later ones alike.
     """
+    needed = list(dict.fromkeys(needed))
     df = conform(scan_csv(spark, path), layout)
+    order, dated = df.columns, layout.dated and is_derived(df, "pickup_date")
+    others = [name for name in order if name not in needed and not (dated and name == "pickup_date")]
+    df = df.select(*others, F.inline(F.array(F.struct(*needed))))
+    if dated:
+        df = with_pickup_date(df)
+    df = df.select(*order)
     kinds = dict(df.dtypes)
     for name in needed:
         df = df.where(finite(F.col(name)) if kinds[name] == "double" else F.col(name).isNotNull())
@@ -93,12 +103,18 @@ def maybe_cache(df: DataFrame, enabled: bool) -> DataFrame:
     return df.cache() if enabled else df
 
 
+def release(df: DataFrame) -> None:
+    """Takes a cached table out of executor storage; anything else is left alone."""
+    df.unpersist()
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
     """Snappy Parquet, optionally partitioned by columns.
 
     A partitioned write is rebalanced first: adaptive execution gathers each
     partition value into well-sized files and splits a value that is too large
-    for one task, where every task would otherwise open a file per value.
+    for one task, where every task would otherwise open a file per value. With
+    adaptive execution off the hint does nothing.
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(name) for name in partition_by])
@@ -120,8 +136,8 @@ def load_converted(spark: SparkSession, target: str) -> TripTables:
     return load_tables(spark, *paths, fmt="parquet")
 
 
-def write_csv_result(df: DataFrame, path: str, single_file: bool = True) -> None:
-    """CSV with header. One file suits a report; row-level results stay parallel."""
+def write_csv_result(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV with header. One file is for a report of few rows, as a single task writes it."""
     if single_file:
         df = df.coalesce(1)
     df.write.mode("overwrite").option("header", True).csv(path)

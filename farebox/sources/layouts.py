@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.functions import parse_decimal, parse_stamp, parse_whole
+from farebox.functions import parse_decimal, parse_stamp, parse_whole, utc_clock
 from farebox.operators.projection import with_pickup_date
 
 
@@ -47,74 +47,67 @@ class Layout:
         return T.StructType([T.StructField(field.header, T.StringType()) for field in self.fields])
 
 
-def _layout(title: str, text: str, dated: bool = False) -> Layout:
-    """Reads lines of ``name type header [required]``."""
-    lines = [line.split() for line in text.strip().split("\n")]
-    fields = (Field(name, kind, header, required=rest == ["required"]) for name, kind, header, *rest in lines)
-    return Layout(title, tuple(fields), dated)
-
-
 # Columns, types and headers of the trip and zone files.
-GPS_TRIPS = _layout(
+GPS_TRIPS = Layout(
     "GPS trips",
-    """
-    vendor_id              int            VendorID                required
-    pickup_datetime        timestamp_ntz  tpep_pickup_datetime    required
-    dropoff_datetime       timestamp_ntz  tpep_dropoff_datetime   required
-    passenger_count        int            passenger_count
-    trip_distance          double         trip_distance
-    pickup_longitude       double         pickup_longitude        required
-    pickup_latitude        double         pickup_latitude         required
-    ratecode_id            int            RateCodeID
-    store_and_fwd_flag     string         store_and_fwd_flag
-    dropoff_longitude      double         dropoff_longitude       required
-    dropoff_latitude       double         dropoff_latitude        required
-    payment_type           int            payment_type
-    fare_amount            double         fare_amount
-    extra                  double         extra
-    mta_tax                double         mta_tax
-    tip_amount             double         tip_amount
-    tolls_amount           double         tolls_amount
-    improvement_surcharge  double         improvement_surcharge
-    total_amount           double         total_amount
-    """,
+    (
+        Field("vendor_id", "int", "VendorID", required=True),
+        Field("pickup_datetime", "timestamp_ntz", "tpep_pickup_datetime", required=True),
+        Field("dropoff_datetime", "timestamp_ntz", "tpep_dropoff_datetime", required=True),
+        Field("passenger_count", "int", "passenger_count"),
+        Field("trip_distance", "double", "trip_distance"),
+        Field("pickup_longitude", "double", "pickup_longitude", required=True),
+        Field("pickup_latitude", "double", "pickup_latitude", required=True),
+        Field("ratecode_id", "int", "RateCodeID"),
+        Field("store_and_fwd_flag", "string", "store_and_fwd_flag"),
+        Field("dropoff_longitude", "double", "dropoff_longitude", required=True),
+        Field("dropoff_latitude", "double", "dropoff_latitude", required=True),
+        Field("payment_type", "int", "payment_type"),
+        Field("fare_amount", "double", "fare_amount"),
+        Field("extra", "double", "extra"),
+        Field("mta_tax", "double", "mta_tax"),
+        Field("tip_amount", "double", "tip_amount"),
+        Field("tolls_amount", "double", "tolls_amount"),
+        Field("improvement_surcharge", "double", "improvement_surcharge"),
+        Field("total_amount", "double", "total_amount"),
+    ),
 )
 
-ZONED_TRIPS = _layout(
+ZONED_TRIPS = Layout(
     "zoned trips",
-    """
-    vendor_id              int            VendorID                required
-    pickup_datetime        timestamp_ntz  tpep_pickup_datetime    required
-    dropoff_datetime       timestamp_ntz  tpep_dropoff_datetime   required
-    passenger_count        int            passenger_count
-    trip_distance          double         trip_distance
-    ratecode_id            int            RatecodeID
-    store_and_fwd_flag     string         store_and_fwd_flag
-    pu_location_id         int            PULocationID            required
-    do_location_id         int            DOLocationID            required
-    payment_type           int            payment_type
-    fare_amount            double         fare_amount
-    extra                  double         extra
-    mta_tax                double         mta_tax
-    tip_amount             double         tip_amount
-    tolls_amount           double         tolls_amount
-    improvement_surcharge  double         improvement_surcharge
-    total_amount           double         total_amount
-    congestion_surcharge   double         congestion_surcharge
-    airport_fee            double         Airport_fee
-    cbd_congestion_fee     double         cbd_congestion_fee
-    """,
+    (
+        Field("vendor_id", "int", "VendorID", required=True),
+        Field("pickup_datetime", "timestamp_ntz", "tpep_pickup_datetime", required=True),
+        Field("dropoff_datetime", "timestamp_ntz", "tpep_dropoff_datetime", required=True),
+        Field("passenger_count", "int", "passenger_count"),
+        Field("trip_distance", "double", "trip_distance"),
+        Field("ratecode_id", "int", "RatecodeID"),
+        Field("store_and_fwd_flag", "string", "store_and_fwd_flag"),
+        Field("pu_location_id", "int", "PULocationID", required=True),
+        Field("do_location_id", "int", "DOLocationID", required=True),
+        Field("payment_type", "int", "payment_type"),
+        Field("fare_amount", "double", "fare_amount"),
+        Field("extra", "double", "extra"),
+        Field("mta_tax", "double", "mta_tax"),
+        Field("tip_amount", "double", "tip_amount"),
+        Field("tolls_amount", "double", "tolls_amount"),
+        Field("improvement_surcharge", "double", "improvement_surcharge"),
+        Field("total_amount", "double", "total_amount"),
+        Field("congestion_surcharge", "double", "congestion_surcharge"),
+        Field("airport_fee", "double", "Airport_fee"),
+        Field("cbd_congestion_fee", "double", "cbd_congestion_fee"),
+    ),
     dated=True,
 )
 
-ZONES = _layout(
+ZONES = Layout(
     "zones",
-    """
-    location_id            int            LocationID              required
-    borough                string         Borough                 required
-    zone                   string         Zone                    required
-    service_zone           string         service_zone
-    """,
+    (
+        Field("location_id", "int", "LocationID", required=True),
+        Field("borough", "string", "Borough", required=True),
+        Field("zone", "string", "Zone", required=True),
+        Field("service_zone", "string", "service_zone"),
+    ),
 )
 
 
@@ -146,6 +139,8 @@ def _typed(column: Column, stored: T.DataType, wanted: str) -> Column:
     """
     if stored.simpleString() == wanted:
         return column
+    if isinstance(stored, T.TimestampType) and wanted == "timestamp_ntz":
+        return utc_clock(column)
     if isinstance(stored, T.StringType) and wanted in PARSERS:
         return PARSERS[wanted](column)
     return column.try_cast(wanted)

@@ -8,10 +8,11 @@ import pytest
 import samples
 from farebox import ReportWindow, plans
 from farebox.driver_queries import QUERIES
-from farebox.operators.joins import join_with_strategy, strategy_labels
+from farebox.operators.joins import join_with_strategy
 from farebox.plans.event_trips import event_trips, nation_zones
 from farebox.sources import convert_tables
 from farebox.sources.files import load_converted
+from joinplans import strategy_labels
 from pyspark.sql import functions as F
 
 WINDOW = ReportWindow.from_id(600)
@@ -162,3 +163,13 @@ def test_adaptive_execution_splits_a_hot_key_without_a_salt(spark):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_percentiles_keep_the_scan_as_it_is(spark, data):
+    for name in ("q1_hourly_df", "q1_hourly_udf", "agg_percentile_approx"):
+        assert "Coalesce " not in plan_of(QUERIES[name](spark, data), "simple"), name
+
+
+def test_derived_dates_reach_a_plain_parquet_scan(spark, data):
+    plan = plan_of(QUERIES["src_parquet_unpartitioned"](spark, data))
+    assert "GreaterThanOrEqual(pickup_datetime" in plan and "LessThan(pickup_datetime" in plan

@@ -15,6 +15,7 @@ from farebox.sources import (
     load_table,
     maybe_cache,
     register_views,
+    release,
     scan_csv,
     scan_csv_rows,
     scan_tolerant,
@@ -215,10 +216,10 @@ def test_save_modes(spark, tmp_path):
 
 def test_csv_result_is_one_file_with_header(spark, tmp_path):
     df = spark.range(0, 100, 1, 4).selectExpr("id", "id * 2 as twice")
-    write_csv_result(df, str(tmp_path / "one"))
+    write_csv_result(df, str(tmp_path / "one"), single_file=True)
     files = list((tmp_path / "one").glob("part-*.csv"))
     assert len(files) == 1 and files[0].read_text().startswith("id,twice\n")
-    write_csv_result(df, str(tmp_path / "many"), single_file=False)
+    write_csv_result(df, str(tmp_path / "many"))
     assert len(list((tmp_path / "many").glob("part-*.csv"))) == 4
     assert scan_csv(spark, str(tmp_path / "many")).count() == 100
 
@@ -245,3 +246,37 @@ def test_paths(spark):
     assert under("base") == "base"
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_instants_are_read_as_utc_in_any_session_zone(spark, tmp_path):
+    path = str(tmp_path / "instants")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    found = []
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        stamps = "timestamp'2024-01-01 00:00:07.5' AS pickup_datetime, timestamp'1969-12-31 23:59:59' AS dropoff_datetime"
+        spark.sql(f"SELECT 1 AS vendor_id, {stamps}, 3 AS pu_location_id, 4 AS do_location_id").write.parquet(path)
+        for name in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            trips = load_table(spark, path, ZONED_TRIPS, "parquet")
+            found.append(tuple(trips.select(*[F.col(c).cast("string") for c in ("pickup_datetime", "dropoff_datetime", "pickup_date")]).first()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert found == [("2024-01-01 00:00:07.5", "1969-12-31 23:59:59", "2024-01-01")] * 3
+
+
+def test_tolerant_scan_parses_a_stamp_once(spark, tmp_path):
+    from joinplans import plan_text
+
+    path = str(tmp_path / "gps")
+    spark.createDataFrame([tuple("1" for _ in GPS_TRIPS.fields)], GPS_TRIPS.raw_schema).write.option("header", True).csv(path)
+    trips = scan_tolerant(spark, path, GPS_TRIPS, ["pickup_datetime", "dropoff_datetime", "fare_amount"])
+    late = trips.where("pickup_datetime < dropoff_datetime AND hour(pickup_datetime) = 3").select("pickup_datetime", "fare_amount")
+    assert plan_text(late).count("RLIKE") <= 2
+
+
+def test_released_tables_leave_storage(spark):
+    cached = maybe_cache(spark.range(10), True)
+    assert cached.count() == 10 and cached.storageLevel.useMemory
+    release(cached)
+    assert not cached.storageLevel.useMemory

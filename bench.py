@@ -1,7 +1,7 @@
 """Times the conversion and every report on CSV and Parquet; prints one JSON line.
 
 What is timed is planning and running the action, with the DataFrame built
-beforehand. Results go to the ``noop`` sink, which computes every column and
+beforehand, but for the entries on the large copy, which build it too. Results go to the ``noop`` sink, which computes every column and
 row; a ``count()`` would let the optimizer drop percentiles, sums and the UDF.
 """
 
@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -35,6 +36,7 @@ from farebox.sources.files import load_converted  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
+COPIES = int(os.environ.get("BENCH_COPIES", "50"))
 REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
 WINDOW = ReportWindow.from_id(600)
 
@@ -74,6 +76,37 @@ def reports(spark: SparkSession, raw: dict[str, str], converted: str) -> dict[st
     return runs
 
 
+def large_copy(spark: SparkSession) -> str:
+    """The tables of the trip view with every event ``COPIES`` times, for times that are work rather than job start."""
+    target = scratch_path(spark, "bench-large")
+    events = spark.read.parquet(f"{FOLDER}/events.parquet").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(COPIES))))
+    events.drop("copy").repartition(32).write.parquet(f"{target}/events.parquet")
+    for name in ("nation", "region"):
+        spark.read.parquet(f"{FOLDER}/{name}.parquet").write.parquet(f"{target}/{name}.parquet")
+    return target
+
+
+def large_reports(spark: SparkSession, folder: str) -> dict[str, Callable[[], DataFrame]]:
+    """Reports on the large copy, planned anew in every run."""
+
+    def trips() -> DataFrame:
+        return event_trips(spark, folder)
+
+    def both() -> tuple[DataFrame, DataFrame]:
+        return trips(), nation_zones(spark, folder)
+
+    return {
+        "q1_df_large": lambda: plans.hourly_profile(trips(), WINDOW),
+        "q1_histogram_large": lambda: plans.hourly_profile_histogram(trips(), WINDOW),
+        "q2_df_large": lambda: plans.top_tip_days(trips(), WINDOW),
+        "q3_df_large": lambda: plans.zone_flows(*both(), WINDOW),
+        "q4_sql_large": lambda: plans.card_tips_sql(*both(), WINDOW),
+        "q5_large": lambda: plans.zone_balance(*both(), WINDOW),
+        "q6_large": lambda: plans.zone_revenue(*both(), WINDOW),
+        "join_broadcast_large": lambda: plans.zone_join(*both(), WINDOW, strategy="broadcast"),
+    }
+
+
 def seconds(action: Callable[[], None]) -> float:
     start = time.perf_counter()
     action()
@@ -100,10 +133,11 @@ def main() -> None:
             seconds(lambda: convert_tables(spark, **raw, target=next(targets))) for _ in range(REPEATS)
         )
     }
-    for name, report in reports(spark, raw, converted).items():
+    runs = {name: lambda report=report: report for name, report in reports(spark, raw, converted).items()}
+    for name, build in (runs | large_reports(spark, large_copy(spark))).items():
 
-        def run(report=report) -> None:
-            report.write.format("noop").mode("overwrite").save()
+        def run(build=build) -> None:
+            build().write.format("noop").mode("overwrite").save()
 
         run()  # warm-up
         times[name] = statistics.median(seconds(run) for _ in range(REPEATS))

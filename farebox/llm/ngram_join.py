@@ -324,22 +324,27 @@ def open_postings(postings: DataFrame, labels: DataFrame, steps: Steps) -> DataF
     return steps.keep(named.join(mixed, "token"), "open")
 
 
-def rest_pairs(open_rows: DataFrame) -> DataFrame:
+def rest_pairs(open_rows: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs of classes in different components that share enough prefix shingles.
 
-    One of the two is outside of the main component, so a large component costs one comparison for each class outside it.
-    Behind the prefix that ends first, no more than that class's ``rest`` can be common.
+    One of the two is outside of the main component, so a large component costs one comparison for each class outside it. The first
+    common shingle of a pair that links lies early among the shared ones of both, as the whole overlap follows it; only such places are
+    joined. Then all common prefix shingles are counted: at least the smaller ``need``, and so many that the ``rest`` of the class
+    whose prefix ends first can make up for what the overlap still lacks.
     """
-    columns = ("key", "n", "need", "shared", "rest", "label")
+    columns = ("key", "n", "shared", "pos", "label")
     other = open_rows.select("token", *[F.col(c).alias(f"{c}2") for c in columns], (F.col("label") == F.col("main")).alias("in_main"))
+    overlap = overlap_needed("n", "n2")
     fits = (F.col("label") != F.col("label2")) & (F.col("in_main") | (F.col("key") < F.col("key2")))
     fits &= 100 * F.least("n", "n2") >= PERCENT * F.greatest("n", "n2")
-    fits &= F.least("shared", "shared2") >= overlap_needed("n", "n2")
-    least = F.greatest(F.least("need", "need2"), overlap_needed("n", "n2") - F.greatest("rest", "rest2"))
-    joined = open_rows.filter("label <> main").join(other, "token").filter(fits)
-    low, high = F.least("key", "key2").alias("a"), F.greatest("key", "key2").alias("b")
-    both = joined.groupBy(low, high).agg(F.count("*").alias("times"), F.first(least).alias("least"))
-    return both.filter("times >= least").select("a", "b")
+    fits &= (F.col("shared") - F.col("pos") >= overlap) & (F.col("shared2") - F.col("pos2") >= overlap)
+    early = open_rows.filter("label <> main").filter(F.col("shared") - F.col("pos") >= F.ceil(PERCENT * F.col("n") / 100))
+    met = early.join(other, "token").filter(fits).select(F.least("key", "key2").alias("a"), F.greatest("key", "key2").alias("b")).distinct()
+    one = sets.select(F.col("key").alias("a"), "n", "need", "rest", "prefix")
+    two = sets.select("key", *[F.col(c).alias(f"{c}2") for c in ("n", "need", "rest", "prefix")]).withColumnRenamed("key", "b")
+    both = met.join(one, "a").join(two, "b")
+    least = F.greatest(F.least("need", "need2"), overlap - F.greatest("rest", "rest2"))
+    return both.filter(F.size(F.array_intersect("prefix", "prefix2")) >= least).select("a", "b")
 
 
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
@@ -359,10 +364,10 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     ranges = token_rows(docs, parts, sent).repartitionById(parts, "part")
     shared = shared_rows(ranges, parts).repartitionById(parts, "part")
     sets = steps.keep(prefixes(shared), "sets")
-    postings = steps.keep(sets.select(F.explode("prefix").alias("token"), "key", "n", "need", "shared", "rest"), "postings")
+    postings = steps.keep(sets.select(F.posexplode("prefix").alias("pos", "token"), "key", "n", "shared"), "postings")
     links = steps.keep(verified(star_pairs(postings, steps), sets), "star-links")
     labels = components(links, steps, "stars")
-    more = steps.keep(verified(rest_pairs(open_postings(postings, labels, steps)), sets), "rest-links")
+    more = steps.keep(verified(rest_pairs(open_postings(postings, labels, steps), sets), sets), "rest-links")
     if not more.isEmpty():
         named = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
         ends = more.join(named, "a", "left").join(named.toDF("b", "lb"), "b", "left")

@@ -41,7 +41,8 @@ def remove_repeats(docs: DataFrame, separator: str = "\n", min_words: int = MIN_
     gone = repeats.groupBy("rank.id", "rank.version").agg(F.array_sort(F.collect_set("rank.pos")).alias("__gone"))
     gone = steps.keep(gone.withColumnsRenamed({"id": "__id", "version": "__version"}), "gone")
     names = [c for c in docs.columns if c not in ("removed", "n_removed")]
-    joined = docs.select(*names).join(gone, F.col(doc_id).eqNullSafe(F.col("__id")) & (F.md5("text") == F.col("__version")), "left")
+    # Texts meet their lists by a shuffle at any size; where few lists exist a broadcast would only seem to make that free.
+    joined = docs.select(*names).join(gone.hint("merge"), F.col(doc_id).eqNullSafe(F.col("__id")) & (F.md5("text") == F.col("__version")), "left")
     kept = F.array_join(F.filter(pieces, lambda x, i: ~F.array_contains(F.col("__gone"), i)), separator)
     cut = joined.withColumn("__pieces", pieces).withColumn("__new", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept))
 

@@ -160,7 +160,7 @@ def held_out(parts: int, part: int, doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % parts == part, F.lit(False))
 
 
-def quality_of(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def quality_of(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",), score: str = "score") -> DataFrame:
     """Trains on the labels that are not held out, and scores all of ``docs``."""
     weights = train_quality(docs, labels.filter(~held_out(3, 1)))
-    return score_quality(docs, weights, keep)
+    return score_quality(docs, weights, keep, score)

@@ -5,7 +5,7 @@ runs of one to three token shapes (length, capitals, digits), each counted and d
 that repeats the one before it counts as a repeat mark, so that pairs see repetition of words never met before. The
 score is the logistic function of the sparse dot product with one weight per hash slot, so it lies between 0 and 1.
 
-Training walks once through a bounded, documented sample of labelled texts (``sample`` rows, chosen and ordered by
+Training walks ``passes`` times through a bounded, documented sample of labelled texts (``sample`` rows, chosen and ordered by
 a hash of the id) in one task, with the per-coordinate updates of FTRL-proximal. Features of the sample are made in parallel before.
 Weights have ``2 ** bits`` slots, so the model that scoring tasks receive has a fixed size.
 
@@ -15,7 +15,7 @@ of several labels of one id the largest counts. Without any labels every score i
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,6 +35,7 @@ _LOWER[97:123] = _UPPER[65:91] = _DIGIT[48:58] = 1
 class QualitySettings:
     bits: int = 20
     sample: int = 12_000
+    passes: int = 4
     alpha: float = 1.0
     beta: float = 1.0
     l1: float = 1e-4
@@ -70,7 +71,7 @@ def text_features(column: pa.Array, bits: int) -> Iterator[tuple[int, np.ndarray
         yield stop - start, (hashes[order] >> shift).astype(np.int64), texts[order], np.bincount(owner, minlength=stop - start)
 
 
-def learn(rows: Iterator[tuple[float, np.ndarray, np.ndarray]], settings: QualitySettings) -> np.ndarray:
+def learn(rows: Iterable[tuple[float, np.ndarray, np.ndarray]], settings: QualitySettings) -> np.ndarray:
     """FTRL-proximal over (label, slots, values); the last weight is the intercept."""
     size = (1 << settings.bits) + 1
     pull, seen = np.zeros(size), np.zeros(size)
@@ -81,7 +82,7 @@ def learn(rows: Iterator[tuple[float, np.ndarray, np.ndarray]], settings: Qualit
         return np.where(np.abs(z) <= settings.l1, 0.0, (np.sign(z) * settings.l1 - z) / rate)
 
     for label, slots, values in rows:
-        at, x = np.r_[slots, size - 1], np.r_[values, 1.0]
+        at, x = np.r_[slots, size - 1], np.r_[values.astype(np.float64), 1.0]
         w = weights(at)
         g = (sigmoid(np.dot(w, x)) - label) * x
         step = (np.sqrt(seen[at] + g * g) - np.sqrt(seen[at])) / settings.alpha
@@ -120,12 +121,12 @@ def train_quality(
             yield pa.record_batch([*batch.columns[:3], pa.array(slots, pa.binary()), pa.array(values, pa.binary())], names)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def each() -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
-            for batch in batches:
-                for y, s, v in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
-                    yield y, np.frombuffer(s, np.int32), np.frombuffer(v, np.float16).astype(np.float64)
-
-        yield pa.record_batch([pa.array([learn(each(), settings).tobytes()], pa.binary())], ["weights"])
+        rows = [
+            (y, np.frombuffer(s, np.int32), np.frombuffer(v, np.float16))
+            for batch in batches
+            for y, s, v in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)
+        ]
+        yield pa.record_batch([pa.array([learn(rows * settings.passes, settings).tobytes()], pa.binary())], ["weights"])
 
     names = ["place", "tie", "label", "slots", "values"]
     made = rows.mapInArrow(featurise, "place long, tie long, label double, slots binary, values binary")

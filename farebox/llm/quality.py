@@ -34,7 +34,7 @@ _LOWER[97:123] = _UPPER[65:91] = _DIGIT[48:58] = 1
 @dataclass(frozen=True)
 class QualitySettings:
     bits: int = 20
-    sample: int = 12_000
+    sample: int = 6_000
     passes: int = 4
     alpha: float = 1.0
     beta: float = 1.0

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 MARK = "▁"
 LETTERS = "a-zA-ZÀ-ÖØ-öø-ÿ"
-REMEMBERED = 800_000
+REMEMBERED = 250_000
 
 
 class PieceModel:

@@ -196,7 +196,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic") ->
     known = known.groupBy(F.col("doc_id").alias("__id")).agg(F.max(label).cast("double").alias("label"))
     known = steps.keep(known.withColumn("place", place).withColumn("half", F.pmod("place", F.lit(2)).cast("double")), "known")
     texts = docs.select(F.col("doc_id").alias("__id"), F.col("text").cast("string").alias("text"))
-    counts = steps.keep(gram_counts(texts.join(known, "__id")), "counts")
+    # Texts meet their labels by a shuffle at any size, as labels grow with the corpus.
+    counts = steps.keep(gram_counts(texts.join(known.hint("merge"), "__id")), "counts")
     totals = [x or 0 for x in counts.agg(*[F.sum(c) for c in ("toxic", "ordinary", "toxic0", "ordinary0")]).first()]
     empty, none = np.zeros(0, np.int64), np.zeros(0)
     plain = np.zeros(3 + len(LEVELS))

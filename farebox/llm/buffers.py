@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 4 << 20
+PIECE_BYTES = 12 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -48,6 +49,13 @@ def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int,
         start = stop
 
 
+def pieces_of(batch: pa.RecordBatch, column: int, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of about ``most`` bytes of text, which bounds what a task holds at once."""
+    _, offsets = text_bytes(batch.column(column))
+    for start, stop in slices(offsets, most):
+        yield batch.slice(start, stop - start)
+
+
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 

@@ -35,7 +35,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farebox.llm.buffers import by_text, lower_ascii, run_hashes, slices, span_hashes, text_bytes, word_spans
+from farebox.llm.buffers import by_text, lower_ascii, pieces_of, run_hashes, slices, span_hashes, text_bytes, word_spans
 from farebox.llm.components import components
 from farebox.llm.scratch import Steps
 
@@ -75,7 +75,7 @@ def classes_of(docs: DataFrame, doc_id: str) -> DataFrame:
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces_of(whole, 1)):
             keys, tokens, sizes = shingle_sets(batch.column(1))
             ends = np.cumsum(sizes)
             first = first_of_each(keys, sizes)
@@ -128,7 +128,7 @@ def token_rows(docs: DataFrame, parts: int, hot: Broadcast) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, frequency = hot.value
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces_of(whole, 0)):
             keys, tokens, sizes = shingle_sets(batch.column(0))
             ends, first, key = np.cumsum(sizes), first_of_each(keys, sizes), np.array(keys, np.int64)
             if not len(first):

@@ -241,7 +241,8 @@ def visit(packs: DataFrame, blocks: DataFrame, index: Index, k: int) -> DataFram
                 if out:
                     yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
 
-    return packs.join(blocks, "block").mapInArrow(run, "query_id long, vec_id long, score long")
+    # Spark cannot know how many packs there will be; without the hint it may take them for small and broadcast them.
+    return packs.join(blocks.hint("merge"), "block").mapInArrow(run, "query_id long, vec_id long, score long")
 
 
 def packed_blocks(placed: DataFrame, index: Index) -> DataFrame:

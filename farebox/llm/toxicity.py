@@ -7,9 +7,12 @@ discounting sets free goes to backoff counts that both classes share: the same o
 the last four bytes, then of the single byte. Rare expressions thus score alike in both, and only what one class says much more often counts.
 
 For a gram, the difference of the log-likelihoods is a fixed number, and for a gram never met it depends on its context alone, as the
-shared part cancels. So the model is two tables: gram -> difference, context -> difference. They are counted over all given labelled
-rows by Spark; kept are grams with a relative frequency of ``RARE`` or more (and ``LEAST`` occurrences) in either class, so there
-are at most 2 / RARE of them at any size of the corpus, which bounds what scoring tasks receive.
+shared part cancels. So the model is a table: gram -> difference, context -> difference. They are counted over all given labelled
+rows by Spark; kept is every gram in ``LEAST`` or more texts of either class, at any size of the corpus, and every context of such a gram.
+
+The table is written and never sent whole. Texts are packed into slices: their distinct words once, and for each text which of
+them it has, how often. A slice asks for the values of its distinct grams and contexts by a join, and what it gets back
+is bounded by the slice. Labels come to the slices in the same way, so no text is shuffled.
 
 The length-normalised difference of a text, the strongest word's, and the summed excess of strong words go through a logistic function
 fitted on a bounded sample (``SAMPLE`` labelled rows by a hash of the id), which gives the score from 0 to 1. It is fitted on texts of
@@ -21,6 +24,7 @@ several labels of an id the largest counts. If only one class is labelled, every
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,24 +34,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.llm.buffers import lower_ascii, slices, span_hashes, text_bytes, token_spans
+from farebox.llm.buffers import SLICE_BYTES, lower_ascii, pieces_of, slices, span_hashes, text_bytes, token_spans
 from farebox.llm.scratch import Steps
 
 ORDER = 6
 DISCOUNT = 0.75
-RARE = 1e-6
 LEAST = 3
 SAMPLE = 20_000
 LEVELS = (2.0, 4.0)
 END = 0x20
+SLICE_TEXT = 48 << 20
+SLICE_WORDS = 4 << 20  # bytes of a slice, all its texts and its distinct words
 
 
 @dataclass
 class ToxicModel:
-    grams: np.ndarray
-    gram_value: np.ndarray
-    contexts: np.ndarray
-    context_value: np.ndarray
+    values: DataFrame | None  # (key, value): a gram, or -1 - context; None if nothing tells the classes apart
     weights: np.ndarray
 
 
@@ -81,25 +83,101 @@ def words_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
         yield start, stop, part, starts[letters], lengths[letters], owner[letters]
 
 
-def gram_counts(labelled: DataFrame) -> DataFrame:
-    """(gram, toxic, ordinary, toxic0, ordinary0) over all rows of ``labelled`` (text, label, half), and over half 0."""
+def words_in(column: pa.Array) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
+    """Distinct words of slices of a batch, and for each text and distinct word of it the text, the word and its times."""
+    for start, _, part, starts, lengths, owner in words_of(column):
+        if len(starts):
+            first, which = distinct_words(part, starts, lengths)
+            pairs, times = np.unique(owner * len(first) + which, return_counts=True)
+            raw = part.tobytes()
+            words = [raw[i : i + n] for i, n in zip(starts[first].tolist(), lengths[first].tolist(), strict=True)]
+            yield words, pairs // len(first) + start, pairs % len(first), times
+
+
+def packed(found: list[tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]]) -> tuple[bytes, bytes]:
+    """The distinct words of several pieces, the most frequent first, each with an END; and texts, words and times as compressed Arrow."""
+    table: dict[bytes, int] = {}
+    places = [np.array([table.setdefault(w, len(table)) for w in words], np.int64)[which] for words, _, which, _ in found]
+    rows, which, times = (np.concatenate([np.zeros(0, np.int64), *x]) for x in ([x[1] for x in found], places, [x[3] for x in found]))
+    order = np.argsort(-np.bincount(which, minlength=len(table)), kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    words = list(table)
+    pairs = pa.record_batch([pa.array(x, pa.int32()) for x in (rows, rank[which], times)], ["row", "word", "times"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, pairs.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(pairs)
+    return b"".join(words[i] + bytes([END]) for i in order), sink.getvalue().to_pybytes()
+
+
+def unpacked(pairs: bytes) -> list[np.ndarray]:
+    return [x.to_numpy().astype(np.int64) for x in pa.ipc.open_stream(pairs).read_all().columns]
+
+
+def vocabulary_grams(vocabulary: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The grams of all words, the word of each, and the words' lengths."""
+    data = np.frombuffer(vocabulary, np.uint8)
+    stops = np.flatnonzero(data == END)
+    starts = np.r_[0, stops[:-1] + 1].astype(np.int64)[: len(stops)]
+    return *word_grams(data, starts, stops - starts), stops - starts
+
+
+def packed_texts(docs: DataFrame, keep: tuple[str, ...], text: str = "text") -> DataFrame:
+    """Slices of texts: (slice, rows: place and ``keep`` columns as c0, c1..., vocabulary, pairs, keys: all grams and contexts of its words)."""
+    row = T.StructType([T.StructField("place", T.IntegerType()), *[T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]])
+    kinds = [("slice", T.LongType()), ("rows", T.ArrayType(row)), ("vocabulary", T.BinaryType()), ("pairs", T.BinaryType()), ("keys", T.ArrayType(T.LongType()))]
+    schema = T.StructType([T.StructField(*x) for x in kinds])
+
+    def pack(held: list[list[pa.Array]], found: list, rows: int) -> pa.RecordBatch:
+        columns = [pa.array(np.arange(rows), pa.int32()), *[pa.concat_arrays(x) for x in zip(*held, strict=True)]]
+        vocabulary, pairs = packed(found)
+        grams = np.unique(vocabulary_grams(vocabulary)[0])
+        keys = np.r_[grams, -1 - np.unique(grams >> 8)]
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (pa.StructArray.from_arrays(columns, row.names), pa.array(keys, pa.int64()))]
+        values = [pa.array([uuid.uuid4().int >> 65], pa.int64()), lists[0], pa.array([vocabulary], pa.binary()), pa.array([pairs], pa.binary()), lists[1]]
+        return pa.record_batch(values, schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, found, rows, texts, words = [], [], 0, 0, 0
         for batch in batches:
-            label, half = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
-            for start, stop, part, starts, lengths, owner in words_of(batch.column(0)):
-                if not len(starts):
-                    continue
-                first, which = distinct_words(part, starts, lengths)
-                key, word = word_grams(part, starts[first], lengths[first])
-                grams, at = np.unique(key, return_inverse=True)
-                once = np.unique(which * (stop - start) + owner)  # a word counts once in a text, however often it is repeated
-                which, owner = once // (stop - start), once % (stop - start)
-                kind = (2 * half + label)[start:stop][owner]
-                sums = [np.bincount(at, np.bincount(which[kind == k], minlength=len(first))[word]).astype(np.int64) for k in range(4)]
-                yield pa.record_batch([pa.array(grams), *map(pa.array, sums)], ["gram", "o0", "t0", "o1", "t1"])
-
-    sent = labelled.select("text", "label", "half").mapInArrow(run, "gram long, o0 long, t0 long, o1 long, t1 long")
+            for piece in pieces_of(batch, len(keep), SLICE_BYTES):
+                for some, row_of, which, times in words_in(piece.column(len(keep))):
+                    found.append((some, row_of + rows, which, times))
+                    words += sum(map(len, some))
+                held.append(piece.columns[: len(keep)])
+                rows, texts = rows + len(piece), texts + len(text_bytes(piece.column(len(keep)))[0])
+                if texts >= SLICE_TEXT or words >= SLICE_WORDS:
+                    yield pack(held, found, rows)
+                    held, found, rows, texts, words = [], [], 0, 0, 0
+        if rows:
+            yield pack(held, found, rows)
+
+    return docs.select(*keep, F.col(text).cast("string").alias("__text")).mapInArrow(run, schema)
+
+
+def gram_counts(texts: DataFrame, known: DataFrame) -> DataFrame:
+    """(gram, toxic, ordinary, toxic0, ordinary0) over all rows of ``texts`` (packed with their id) that are ``known`` (__id, label, half), and over half 0."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        place, kind = right["place"].to_numpy(), (2 * right["half"].to_numpy() + right["label"].to_numpy()).astype(np.int64)
+        for vocabulary, pairs in zip(left["vocabulary"], left["pairs"], strict=True):
+            key, word, lengths = vocabulary_grams(vocabulary.as_py())
+            row, which, _ = unpacked(pairs.as_py())  # a word counts once in a text, however often it is repeated
+            kinds = np.full(max(row.max(initial=-1), place.max(initial=-1)) + 1, -1)
+            kinds[place] = kind
+            grams, at = np.unique(key, return_inverse=True)
+            sums = [np.bincount(at, np.bincount(which[kinds[row] == k], minlength=len(lengths))[word], minlength=len(grams)).astype(np.int64) for k in range(4)]
+            met = np.add.reduce(sums) > 0
+            out.append(pa.table([pa.array(x[met]) for x in (grams, *sums)], ["gram", "o0", "t0", "o1", "t1"]))
+        kind_of = pa.schema([(c, pa.int64()) for c in ("gram", "o0", "t0", "o1", "t1")])
+        return pa.concat_tables([kind_of.empty_table(), *out])
+
+    who = texts.select("slice", F.explode("rows").alias("x")).select("slice", F.col("x.place").alias("place"), F.col("x.c0").alias("__id"))
+    # Ids meet their labels by a shuffle at any size, as labels grow with the corpus.
+    labelled = who.join(known.select("__id", "label", "half").hint("merge"), "__id").select(F.col("slice").alias("of"), "place", "label", "half")
+    sides = texts.select("slice", "vocabulary", "pairs").groupBy("slice").cogroup(labelled.groupBy("of"))
+    sent = sides.applyInArrow(run, "gram long, o0 long, t0 long, o1 long, t1 long")
     total = sent.groupBy("gram").agg(*[F.sum(c).alias(c) for c in ("o0", "t0", "o1", "t1")])
     both = [(F.col(f"{c}0") + F.col(f"{c}1")).alias(name) for c, name in (("t", "toxic"), ("o", "ordinary"))]
     return total.select("gram", *both, F.col("t0").alias("toxic0"), F.col("o0").alias("ordinary0"))
@@ -115,10 +193,10 @@ def differences(counts: DataFrame, toxic: int, ordinary: int) -> tuple[DataFrame
     short = scaled.groupBy(F.col("gram").bitwiseAND(0xFFFFFFFF).alias("short")).agg(F.count("*").alias("n"))
     single = short.groupBy(F.col("short").bitwiseAND(0xFF).alias("byte")).agg(F.sum("n").alias("n1"))
     before = short.groupBy(F.shiftright("short", 8).alias("c3")).agg(F.sum("n").alias("n3"), F.count("*").alias("kinds"))
-    kept = scaled.filter((F.col("toxic") >= max(RARE * toxic, LEAST)) | (F.col("ordinary") >= max(RARE * ordinary, LEAST)))
+    kept = scaled.filter((F.col("toxic") >= LEAST) | (F.col("ordinary") >= LEAST))
     kept = kept.withColumn("short", F.col("gram").bitwiseAND(0xFFFFFFFF))
     kept = kept.withColumn("c3", F.shiftright("short", 8)).withColumn("byte", F.col("gram").bitwiseAND(0xFF))
-    joined = kept.join(contexts, "context").join(short, "short").join(before, "c3").join(single, "byte")
+    joined = kept.join(contexts, "context").join(short, "short").join(before, "c3").join(F.broadcast(single), "byte")
     lowest = F.col("n1") / counts.count()
     middle = (F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("kinds") * lowest) / F.col("n3")
     shared = (F.greatest(F.col("p") - DISCOUNT, F.lit(0.0)) + F.col("free_p") * F.col("middle")) / F.col("all_p")
@@ -144,25 +222,24 @@ def looked_up(keys: np.ndarray, table: np.ndarray, values: np.ndarray) -> tuple[
     return found, np.where(found, values[at], 0.0)
 
 
-def evidence(column: pa.Array, model: ToxicModel) -> np.ndarray:
-    """Per text of a batch: the strongest word's difference, summed excess over LEVELS, and the mean difference of a byte."""
-    out = np.zeros((len(column), 2 + len(LEVELS)))
-    for start, stop, part, starts, lengths, owner in words_of(column):
-        if not len(starts):
-            continue
-        first, which = distinct_words(part, starts, lengths)
-        key, word = word_grams(part, starts[first], lengths[first])
-        known, value = looked_up(key, model.grams, model.gram_value)
-        rest = ~known
-        value[rest] = looked_up(key[rest] >> 8, model.contexts, model.context_value)[1]
-        own = np.bincount(word, value, minlength=len(first))[which]
-        rows = stop - start
-        begin = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-        out[start:stop, 0][owner[begin]] = np.maximum(np.maximum.reduceat(own, begin), 0) / 4
-        for k, level in enumerate(LEVELS):
-            out[start:stop, 1 + k] = np.log1p(np.bincount(owner, np.maximum(own - level, 0), minlength=rows))
-        size = np.bincount(owner, lengths + 1, minlength=rows)
-        out[start:stop, -1] = np.clip(np.bincount(owner, own, minlength=rows) / np.maximum(size, 1) * 10, -5, 5)
+def evidence(vocabulary: bytes, pairs: bytes, rows: int, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Per text of a slice: the strongest word's difference, summed excess over LEVELS, and the mean difference of a byte."""
+    out = np.zeros((rows, 2 + len(LEVELS)))
+    row, which, times = unpacked(pairs)
+    if not len(row):
+        return out
+    key, word, lengths = vocabulary_grams(vocabulary)
+    known, value = looked_up(key, keys, values)
+    rest = ~known
+    value[rest] = looked_up(-1 - (key[rest] >> 8), keys, values)[1]
+    own = np.bincount(word, value, minlength=len(lengths))[which]
+    strongest = np.zeros(rows)
+    np.maximum.at(strongest, row, own)
+    out[:, 0] = strongest / 4
+    for k, level in enumerate(LEVELS):
+        out[:, 1 + k] = np.log1p(np.bincount(row, times * np.maximum(own - level, 0), minlength=rows))
+    size = np.bincount(row, times * (lengths[which] + 1), minlength=rows)
+    out[:, -1] = np.clip(np.bincount(row, times * own, minlength=rows) / np.maximum(size, 1) * 10, -5, 5)
     return out
 
 
@@ -178,14 +255,10 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30, ridge: float = 1e-2
     return w
 
 
-def tables_of(counts: DataFrame, toxic: int, ordinary: int, weights: np.ndarray) -> ToxicModel:
-    """The two tables as sorted arrays: at most 2 / RARE rows each."""
-    arrays = []
-    for table in differences(counts, toxic, ordinary):
-        rows = table.toArrow()
-        order = np.argsort(rows.column(0).to_numpy())
-        arrays += [rows.column(0).to_numpy()[order], rows.column(1).to_numpy()[order]]
-    return ToxicModel(*arrays, weights)
+def values_of(counts: DataFrame, toxic: int, ordinary: int) -> DataFrame:
+    """(key, value) of all kept grams and, as -1 - context, of their contexts."""
+    grams, contexts = differences(counts, toxic, ordinary)
+    return grams.withColumnRenamed("gram", "key").union(contexts.select((-1 - F.col("context")).alias("key"), "value"))
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> ToxicModel:
@@ -196,39 +269,50 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic") ->
     known = known.groupBy(F.col("doc_id").alias("__id")).agg(F.max(label).cast("double").alias("label"))
     known = steps.keep(known.withColumn("place", place).withColumn("half", F.pmod("place", F.lit(2)).cast("double")), "known")
     texts = docs.select(F.col("doc_id").alias("__id"), F.col("text").cast("string").alias("text"))
-    # Texts meet their labels by a shuffle at any size, as labels grow with the corpus.
-    counts = steps.keep(gram_counts(texts.join(known.hint("merge"), "__id")), "counts")
+    counts = steps.keep(gram_counts(steps.keep(packed_texts(texts, ("__id",)), "texts"), known), "counts")
+    steps.drop("texts")
     totals = [x or 0 for x in counts.agg(*[F.sum(c) for c in ("toxic", "ordinary", "toxic0", "ordinary0")]).first()]
-    empty, none = np.zeros(0, np.int64), np.zeros(0)
     plain = np.zeros(3 + len(LEVELS))
     if not all(totals):
         times, share = known.agg(F.count("*"), F.sum("label")).first()
         share = ((share or 0) + 0.5) / (times + 1)
         plain[-1] = np.log(share / (1 - share))
-        return ToxicModel(empty, none, empty, none, plain)
+        return ToxicModel(None, plain)
     first = counts.filter("toxic0 + ordinary0 > 0").select("gram", F.col("toxic0").alias("toxic"), F.col("ordinary0").alias("ordinary"))
     drawn = known.filter("half = 1").select("__id", "label", "place").orderBy("place", "__id").limit(SAMPLE)
-    seen = evidence_rows(texts.join(F.broadcast(drawn), "__id"), tables_of(first, *totals[2:], plain), ("label",))
+    half = steps.keep(values_of(first, *totals[2:]), "half")
+    seen = evidence_rows(texts.join(F.broadcast(drawn), "__id"), half, ("label",))
     rows = seen.toArrow()  # SAMPLE rows of a few numbers
     x = np.array(rows.column("evidence").to_pylist()).reshape(-1, len(plain) - 1)
-    return tables_of(counts, *totals[:2], logistic(x, rows.column("label").to_numpy()))
+    weights = logistic(x, rows.column("label").to_numpy())
+    steps.drop("half")
+    return ToxicModel(steps.keep(values_of(counts, *totals[:2]), "values"), weights)
 
 
-def evidence_rows(docs: DataFrame, model: ToxicModel, keep: tuple[str, ...], text: str = "text") -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+def evidence_rows(docs: DataFrame, values: DataFrame, keep: tuple[str, ...], text: str = "text") -> DataFrame:
+    """The ``keep`` columns of every row and the ``evidence`` of its text."""
+    texts = Steps(docs.sparkSession).keep(packed_texts(docs, keep, text), "texts")
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("evidence", T.ArrayType(T.DoubleType()))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = evidence(batch.column(len(keep)), sent.value)
-            yield pa.record_batch([*batch.columns[: len(keep)], pa.array(list(found), pa.list_(pa.float64()))], [*keep, "evidence"])
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        keys, at = np.unique(right["key"].to_numpy(), return_index=True)
+        value, out = right["value"].to_numpy()[at], []
+        for rows, vocabulary, pairs in zip(left["rows"], left["vocabulary"], left["pairs"], strict=True):
+            columns = rows.values.flatten()[1:]
+            found = evidence(vocabulary.as_py(), pairs.as_py(), len(rows.values), keys, value)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * found.shape[1], pa.int32()), pa.array(found.ravel()))
+            out.append(pa.table([*columns, lists], [*keep, "evidence"]))
+        return pa.concat_tables(out)
 
-    return docs.select(*keep, F.col(text).cast("string").alias("__text")).mapInArrow(run, schema)
+    asked = texts.select(F.col("slice").alias("of"), F.explode("keys").alias("key")).join(values.hint("merge"), "key")
+    return texts.select("slice", "rows", "vocabulary", "pairs").groupBy("slice").cogroup(asked.groupBy("of")).applyInArrow(run, schema)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicModel, keep: tuple[str, ...] = ("doc_id",), score: str = "score") -> DataFrame:
     """The ``keep`` columns of every row, and the ``score`` of its whole text."""
     keep = tuple(c for c in keep if c not in (score, "evidence"))
-    rows = evidence_rows(docs, model, keep)
+    if model.values is None:
+        return docs.select(*keep, F.lit(float(1 / (1 + np.exp(-model.weights[-1])))).alias(score))
+    rows = evidence_rows(docs, model.values, keep)
     total = sum((F.get("evidence", F.lit(i)) * float(w) for i, w in enumerate(model.weights[:-1])), F.lit(float(model.weights[-1])))
     return rows.select(*keep, (1 / (1 + F.exp(-total))).alias(score))

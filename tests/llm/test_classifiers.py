@@ -5,9 +5,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from odd import sentence
+from pyspark.sql import functions as F
 from farebox.llm.queries import QUERIES
 from farebox.llm.quality import QualitySettings, held_out, score_quality, text_features, train_quality
-from farebox.llm.toxicity import score_toxicity, train_toxicity, word_grams
+from farebox.llm.toxicity import differences, score_toxicity, train_toxicity, word_grams
 
 SMALL = QualitySettings(bits=16)
 
@@ -99,3 +100,21 @@ def test_grams_are_padded_and_end():
     key, word = word_grams(np.frombuffer(b"abz", np.uint8), np.array([0, 2]), np.array([2, 1]))
     assert [int(k).to_bytes(6, "big") for k in key] == [b"\0\0\0\0\0a", b"\0\0\0\0ab", b"\0\0\0ab ", b"\0\0\0\0\0z", b"\0\0\0\0z "]
     assert word.tolist() == [0, 0, 0, 1, 1]
+
+
+def test_rare_grams_stay_in_the_model_of_a_large_corpus(spark):
+    # 8 million toxic gram counts: a gram of 4 texts lies under a millionth of them, and an expression of these texts is still known.
+    counts = spark.range(2_000_000).select((F.col("id") + (1 << 40)).alias("gram"), F.lit(4).alias("toxic"), F.lit(4).alias("ordinary"))
+    rare = spark.createDataFrame([(0x7A7A71, 4, 0)], "gram long, toxic int, ordinary int")
+    grams, contexts = differences(counts.union(rare), 8_000_004, 8_000_000)
+    assert grams.filter(F.col("gram") == 0x7A7A71).first().value > 0
+    assert grams.count() == 2_000_001 and contexts.filter(F.col("context") == 0x7A7A).count() == 1
+
+
+def test_rows_keep_their_texts_over_slices(spark):
+    rows = toxic_corpus(200)
+    docs = spark.createDataFrame([(i % 50, text, k) for k, (i, text, _) in enumerate(rows)], "doc_id long, text string, n int")
+    model = train_toxicity(docs, spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int"))
+    whole = {x.n: x.score for x in score_toxicity(docs.coalesce(1), model, ("n",)).collect()}
+    parts = {x.n: x.score for x in score_toxicity(docs.repartition(7), model, ("n",)).collect()}
+    assert whole.keys() == parts.keys() == set(range(200)) and all(abs(whole[n] - parts[n]) < 1e-9 for n in whole)

@@ -2,9 +2,10 @@
 
 Markup is stripped into lines: one for each stretch of text between block-level tags, with character references decoded and
 white space collapsed. A line weighs as many characters as it has outside links; lines in menus, headers, footers, asides,
-forms, notices, adverts, comments or hidden elements weigh nothing and are never kept. The weights are summed over a window that
-slides over the lines. From the window with the largest sum the text surges and dives where the sums before and after fall to
-zero; what lies between is the main text. If the page marks its article (``article`` or ``main``), the surge and dive
+forms, notices, adverts, comments or hidden elements are left out first. The weights of the others are summed over a window that
+slides over the lines, and fall to zero between runs of text. A run is dense if its largest sum has at least ``DENSE`` of the
+page's largest. The text surges where the first dense run begins and dives where the last one ends; what lies between is the
+main text, lists of links too. If the page marks its article (``article`` or ``main``), the surge and dive
 points are the borders of the one around the largest sum, so short first and last paragraphs stay.
 
 Damaged markup: unclosed and stray tags, comments or scripts that never end, and "<" in text are accepted. An article that begins
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WINDOW = 3
+DENSE = 0.25
 
 # Element names of HTML, by what they mean for the text.
 RAW = "script style noscript template svg math iframe object canvas textarea title select option datalist audio video head"
@@ -175,8 +177,8 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
 
 def main_text(page: str | None) -> str:
     """The lines of the main text, joined by line feeds."""
-    lines = page_lines(page or "")
-    weights = [max(0, w) for _, w, _ in lines]
+    lines = [x for x in page_lines(page or "") if x[1] >= 0]
+    weights = [w for _, w, _ in lines]
     if not any(weights):
         return ""
     half = WINDOW // 2
@@ -189,7 +191,8 @@ def main_text(page: str | None) -> str:
         inside = [i for i, x in enumerate(lines) if x[2] == article]
         surge, dive = inside[0], inside[-1]
     else:
-        surge = dive = peak
+        dense = [i for i, x in enumerate(sums) if x >= DENSE * max(sums)]
+        surge, dive = dense[0], dense[-1]
         while surge > 0 and sums[surge - 1]:
             surge -= 1
         while dive < len(sums) - 1 and sums[dive + 1]:
@@ -198,7 +201,7 @@ def main_text(page: str | None) -> str:
             surge += 1
         while not weights[dive]:
             dive -= 1
-    return "\n".join(text for text, weight, own in lines[surge : dive + 1] if weight >= 0 and own == article)
+    return "\n".join(text for text, _, own in lines[surge : dive + 1] if own == article)
 
 
 def extract_text(pages: DataFrame, html_column: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

@@ -50,3 +50,14 @@ def test_table(spark):
 def test_query(spark, data):
     for x in QUERIES["op8_html_text"](spark, data).collect():
         assert x.n_chars == len(x.text) > 0 and "<" not in x.text
+
+
+@pytest.mark.parametrize("inset", ["<aside><p>x</p><p>y</p><p>z</p><p>w</p></aside>", "<form><p>x</p><p>y</p><p>z</p></form>", "<div class=ad><p>x<p>y<p>z</div>"])
+def test_text_goes_on_after_lines_set_apart(inset):
+    assert main_text(f"<p>A</p><p>B</p>{inset}<p>C</p><p>D</p>") == "A\nB\nC\nD"
+
+
+def test_text_goes_on_after_a_list_of_links():
+    links = "".join(f"<li><a href=/{k}>Link {k}</a>" for k in range(5))
+    got = main_text(f"<p>A first part of the text.</p><ul>{links}</ul><p>The other part of it.</p><ul>{links}</ul><p>end</p>").split("\n")
+    assert (got[0], got[-1]) == ("A first part of the text.", "The other part of it.")

@@ -5,8 +5,9 @@ white space collapsed. A line weighs as many characters as it has outside links;
 forms, notices, adverts, comments or hidden elements are left out first. The weights of the others are summed over a window that
 slides over the lines, and fall to zero between runs of text. A run is dense if its largest sum has at least ``DENSE`` of the
 page's largest. The text surges where the first dense run begins and dives where the last one ends; what lies between is the
-main text, lists of links too. If the page marks its article (``article`` or ``main``), the surge and dive
-points are the borders of the one around the largest sum, so short first and last paragraphs stay.
+main text, lists of links too. If the page marks an article (``article`` or ``main``) that the stretch touches, the ends move out to
+its borders, so short first and last paragraphs stay. Articles in one ``main`` or article, and articles side by side in one
+element, are one. Marks never take lines away.
 
 Damaged markup: unclosed and stray tags, comments or scripts that never end, and "<" in text are accepted. An article that begins
 inside an unclosed block is read as an article. Null and empty pages, and pages without text, give empty text. Rows are
@@ -97,12 +98,13 @@ def unclosed(tokens: list[re.Match[str]]) -> set[int]:
 
 
 def page_lines(page: str) -> list[tuple[str, int, int]]:
-    """(text, weight, article) of every line in page order; lines set apart have weight -1, article 0 is none."""
+    """(text, weight, article) of every line in page order; lines set apart have weight -1, article 0 is none. Nested and sibling articles are one."""
     lines: list[tuple[str, int, int]] = []
     parts: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, int]] = []  # element, set apart by itself or by one around it, article
-    apart, article, articles, link = False, 0, 0, 0
+    stack: list[tuple[str, bool, int, int]] = []  # element, set apart by itself or by one around it, article, place in the page
+    apart, article, link = False, 0, 0
+    articles: dict[int, int] = {}  # by the place of the element around them
 
     def end_line() -> None:
         nonlocal linked
@@ -163,11 +165,12 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
             # Unclosed blocks before an article do not take it along; a menu or an aside around it does.
             apart = any(x[0] in ("nav", "aside", "footer") for x in stack)
             link = 0
-            articles += 1
-            article = articles
+            if not article:
+                around = next((x[3] for x in reversed(stack) if x[0] != "p"), -1)
+                article = articles.setdefault(around, len(articles) + 1)
         if name in _BLOCKS or own:
             apart = apart or own
-            stack.append((name, apart, article))
+            stack.append((name, apart, article, token.start()))
             ends_soon = own and name in _BLOCKS and token.start() in loose
     if at < len(page):
         add(page[at:])
@@ -183,25 +186,20 @@ def main_text(page: str | None) -> str:
         return ""
     half = WINDOW // 2
     sums = [sum(weights[max(0, i - half) : i + half + 1]) for i in range(len(weights))]
-    peak = max(range(len(sums)), key=lambda i: (sums[i], weights[i]))
-    if not weights[peak]:
-        peak = max(range(max(0, peak - half), min(len(weights), peak + half + 1)), key=weights.__getitem__)
-    article = lines[peak][2]
-    if article:
-        inside = [i for i, x in enumerate(lines) if x[2] == article]
-        surge, dive = inside[0], inside[-1]
-    else:
-        dense = [i for i, x in enumerate(sums) if x >= DENSE * max(sums)]
-        surge, dive = dense[0], dense[-1]
-        while surge > 0 and sums[surge - 1]:
-            surge -= 1
-        while dive < len(sums) - 1 and sums[dive + 1]:
-            dive += 1
-        while not weights[surge]:
-            surge += 1
-        while not weights[dive]:
-            dive -= 1
-    return "\n".join(text for text, _, own in lines[surge : dive + 1] if own == article)
+    dense = [i for i, x in enumerate(sums) if x >= DENSE * max(sums)]
+    surge, dive = dense[0], dense[-1]
+    while surge > 0 and sums[surge - 1]:
+        surge -= 1
+    while dive < len(sums) - 1 and sums[dive + 1]:
+        dive += 1
+    while not weights[surge]:
+        surge += 1
+    while not weights[dive]:
+        dive -= 1
+    touched = {own for _, _, own in lines[surge : dive + 1]} - {0}
+    inside = [i for i, x in enumerate(lines) if x[2] in touched]
+    surge, dive = min([surge, *inside]), max([dive, *inside])
+    return "\n".join(text for text, _, _ in lines[surge : dive + 1])
 
 
 def extract_text(pages: DataFrame, html_column: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

@@ -61,3 +61,10 @@ def test_text_goes_on_after_a_list_of_links():
     links = "".join(f"<li><a href=/{k}>Link {k}</a>" for k in range(5))
     got = main_text(f"<p>A first part of the text.</p><ul>{links}</ul><p>The other part of it.</p><ul>{links}</ul><p>end</p>").split("\n")
     assert (got[0], got[-1]) == ("A first part of the text.", "The other part of it.")
+
+
+def test_articles_only_extend_the_stretch():
+    assert main_text("<main><h1>T</h1><p>intro</p><article><p>The long text of it.</p></article></main>") == "T\nintro\nThe long text of it."
+    two = "<div><article><p>The first text of the page.</p></article><aside><p>x</p></aside><article><p>The second one.</p></article></div>"
+    assert main_text(two) == "The first text of the page.\nThe second one."
+    assert main_text("<p>Outside, and of some length.</p><article><p>Inside, and of some length.</p></article>").count("length") == 2

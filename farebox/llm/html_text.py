@@ -9,7 +9,8 @@ main text, lists of links too. If the page marks an article (``article`` or ``ma
 its borders, so short first and last paragraphs stay. Articles in one ``main`` or article, and articles side by side in one
 element, are one. Marks never take lines away.
 
-Damaged markup: unclosed and stray tags, comments or scripts that never end, and "<" in text are accepted. An article that begins
+Damaged markup: unclosed and stray tags, comments or scripts that never end, and "<" in text are accepted. A script, style,
+textarea or comment that never ends takes the rest of the page; any other element without text of its own ends at the next block. An article that begins
 inside an unclosed block is read as an article. Null and empty pages, and pages without text, give empty text. Rows are
 independent: ties, repeated rows and null ids need no rule. Input columns that clash with ``text`` are replaced.
 """
@@ -29,7 +30,8 @@ WINDOW = 3
 DENSE = 0.25
 
 # Element names of HTML, by what they mean for the text.
-RAW = "script style noscript template svg math iframe object canvas textarea title select option datalist audio video head"
+RAW = "script style textarea"
+SKIPPED = "noscript template svg math iframe object canvas title select option datalist audio video"
 BLOCKS = (
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul"
@@ -53,6 +55,8 @@ _ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
     rf"|<(?P<raw>{'|'.join(RAW.split())})(?=[\s/>]){_ATTRIBUTES}>(?:.*?</(?P=raw)\s*+[^>]*+>|.*\Z)"
+    rf"|<(?P<skipped>{'|'.join(SKIPPED.split())})(?=[\s/>]){_ATTRIBUTES}>"
+    rf"(?:(?:(?!<(?P=skipped)[\s/>]).)*?</(?P=skipped)\s*+[^>]*+>|.*?(?=</?(?:head|{'|'.join(BLOCKS.split())})[\s/>])|.*\Z)"
     rf"|<(?P<end>/?)(?P<name>[a-z][^\s/>]*+)(?P<rest>{_ATTRIBUTES})>",
     re.IGNORECASE | re.DOTALL,
 )

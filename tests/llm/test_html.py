@@ -68,3 +68,17 @@ def test_articles_only_extend_the_stretch():
     two = "<div><article><p>The first text of the page.</p></article><aside><p>x</p></aside><article><p>The second one.</p></article></div>"
     assert main_text(two) == "The first text of the page.\nThe second one."
     assert main_text("<p>Outside, and of some length.</p><article><p>Inside, and of some length.</p></article>").count("length") == 2
+
+
+@pytest.mark.parametrize(
+    "before",
+    ["<html><head><title>t</title><body>", "<html><head><title>t<body>", "<select><option>one<option>two", "<object data=x>", "<noscript>", "<video src=x>", "<svg><path d=x>"],
+)
+def test_unclosed_elements_end_at_the_next_block(before):
+    assert main_text(before + ARTICLE) == WANT
+    assert main_text(before + ARTICLE + "<select><option>a</select><title>no</title>") == WANT
+
+
+@pytest.mark.parametrize("name", ["script", "style", "textarea"])
+def test_unclosed_scripts_take_the_rest(name):
+    assert main_text(f"{ARTICLE}<{name}><p>not text</p>") == WANT

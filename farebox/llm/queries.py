@@ -85,7 +85,7 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), short_runs=False)  # the SQL knows lines alone
     places = F.array_join(F.transform("removed", lambda x: F.concat_ws("-", x.start, x.end)), ",")
     return cut.select("doc_id", "n_removed", "text", places.alias("removed"))
 

@@ -54,6 +54,17 @@ def test_paragraphs(spark):
     assert out == {1: f"{sentence(1)}\n\nb", 2: "c"}
 
 
+def test_wrapped_passages_go_lone_lines_stay(spark):
+    words = sentence(1, 60).split()
+    wrapped = "\n".join(" ".join(words[i : i + 12]) for i in range(0, 60, 12))
+    texts = [f"Heading\n\n{wrapped}\n\nend", f"Heading\n\n{wrapped.upper()}\n\nother", f"Heading\n\n{' '.join(words)}", "Heading\n\n" + "\n".join(words[:12])]
+    out = {x.doc_id: x for x in remove_repeats(spark.createDataFrame([row(k, t) for k, t in enumerate(texts)], DOCUMENTS)).collect()}
+    assert (out[0].text, out[3].text) == (texts[0], texts[3])
+    assert out[1].text == "Heading\n\n\nother" and out[1].n_removed == 5
+    assert "\n".join(texts[1][s:e] for s, e in out[1].removed) == wrapped.upper()
+    assert out[2].text == "Heading\n"
+
+
 def fill_by_rounds(sizes, weights, budget, epochs):
     target, free = dict.fromkeys(sizes, 0.0), {s for s in sizes if weights[s] > 0}
     full: set = set(sizes) - free

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from farebox.llm.fingerprints import fingerprint_edits
 from farebox.llm.html_text import extract_text
+from farebox.llm.lexical_search import LEXICAL_SQL, search_documents
 from farebox.llm.line_dedup import LINES_SQL, drop_boilerplate
 from farebox.llm.mixing import MIX_SQL, mix_sources
 from farebox.llm.ngram_join import similar_documents
@@ -122,3 +123,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_toxicity(docs, train_toxicity(docs, labels.filter(~held_out(4, 2))))
     predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
     return scored.select("doc_id", held_out(4, 2).alias("held_out"), "score", predicted)
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op13_lexical_search"] = LEXICAL_SQL

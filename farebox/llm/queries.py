@@ -18,6 +18,7 @@ from farebox.llm.sentencepiece_bpe import encode_documents
 from farebox.llm.substring_dedup import REPEATS_SQL, remove_repeats
 from farebox.llm.topk import top_k
 from farebox.llm.toxicity import score_toxicity, train_toxicity
+from farebox.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -131,3 +132,8 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_lexical_search"] = LEXICAL_SQL
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))

@@ -48,7 +48,7 @@ def test_odd_documents_equal_sql(spark, odd_folder):
 ITEMS = [(1, sentence(1)), (1, sentence(1)), (1, "ü" * 50_000), (2, None), (3, ""), (4, "?! --"), (None, sentence(2) + " " + sentence(2)), (5, "same LINE here here"), (6, "nowhere at all 😀"), (7, " nbsp é")]
 
 
-@pytest.mark.parametrize("pack_bytes", [1 << 20, 300])
+@pytest.mark.parametrize("pack_bytes", [1 << 20, 30_000])
 def test_packs_and_odd_items_equal_plain_python(spark, odd, pack_bytes):
     items = spark.createDataFrame(ITEMS, "item_id int, text string")
     found = search_documents(odd, items, k=4, pack_bytes=pack_bytes)

@@ -16,6 +16,7 @@ from farebox.llm.ngram_join import similar_documents
 from farebox.llm.quality import held_out, quality_of
 from farebox.llm.sentencepiece_bpe import encode_documents
 from farebox.llm.substring_dedup import REPEATS_SQL, remove_repeats
+from farebox.llm.suffix_dedup import remove_repeated_substrings
 from farebox.llm.topk import top_k
 from farebox.llm.toxicity import score_toxicity, train_toxicity
 from farebox.llm.whitening import whiten
@@ -137,3 +138,11 @@ ORACLES["op13_lexical_search"] = LEXICAL_SQL
 @query
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeated_substrings(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, x: total + x.stop - x.start)
+    kept = F.sha2("kept", 256).alias("kept_sha256")
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), kept)

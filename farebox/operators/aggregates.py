@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farebox.functions import finite, or_zero, ratio
+from farebox.operators.projection import evaluated_once
 from farebox.operators.ranking import running_total
 
 # Distance histogram of the hourly report.
@@ -81,17 +82,15 @@ def histogram(
 ) -> DataFrame:
     """Rows per key and bin; the last bin holds all that lies beyond. Only finite values from zero on are counted.
 
-    At most ``bins + 1`` rows per key leave any task, and one for what is not
-    counted. ``extra`` aggregates over the counted rows ride along in the same
-    pass. What is not counted is told by its bin, as a filter would compute the
-    value a second time.
+    At most ``bins + 1`` rows per key leave any task. ``extra`` aggregates over the counted rows ride along in the same
+    pass. The value is computed once a row, then tested and binned.
     """
-    inside = (F.col(value) >= 0) & finite(F.col(value))
-    bin_index = F.when(inside, F.floor(F.least(F.col(value) / width, F.lit(float(bins)))).cast("int")).alias("bin")
-    counted = df.groupBy(*keys, bin_index).agg(
+    known = evaluated_once(df, value)
+    inside = known.where((F.col(value) >= 0) & finite(F.col(value)))
+    bin_index = F.floor(F.least(F.col(value) / width, F.lit(float(bins)))).cast("int").alias("bin")
+    return inside.groupBy(*keys, bin_index).agg(
         row_count().alias("rows"), *[column.alias(name) for name, column in extra.items()]
     )
-    return counted.where(F.col("bin").isNotNull())
 
 
 def histogram_percentile(

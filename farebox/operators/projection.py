@@ -53,6 +53,17 @@ def with_pickup_date(df: DataFrame) -> DataFrame:
     return df.select("*", day)
 
 
+def evaluated_once(df: DataFrame, *names: str) -> DataFrame:
+    """The same rows and columns; the named ones are computed here, once a row, whatever is built on them.
+
+    They pass through a one-row array. Catalyst pushes no filter on them below it and copies their expressions into none,
+    as it otherwise does for every place that uses a column. For what is costly to compute and tested often.
+    """
+    others = [F.col(f"`{name}`") for name in df.columns if name not in names]
+    settled = df.select(*others, F.inline(F.array(F.struct(*[F.col(f"`{name}`") for name in names]))))
+    return settled.select(*[F.col(f"`{field.name}`").alias(field.name, metadata=field.metadata) for field in df.schema.fields])
+
+
 def is_derived(df: DataFrame, name: str) -> bool:
     """Whether a column was added by this library rather than read."""
     return bool(df.schema[name].metadata.get(DERIVED))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.functions import finite
-from farebox.operators.projection import is_derived, with_pickup_date
+from farebox.operators.projection import evaluated_once, is_derived, with_pickup_date
 from farebox.sources.layouts import GPS_TRIPS, ZONED_TRIPS, ZONES, Layout, conform
 
 # Folder names of the converted tables.
@@ -57,15 +57,13 @@ def scan_tolerant(spark: SparkSession, path: str, layout: Layout, needed: Sequen
     """CSV scan that skips short and unparseable lines.
 
     A line counts as broken when one of the ``needed`` clean columns is missing,
-    is no number or time, or is NaN or infinite. The needed columns pass through
-    a one-row array, below which no filter on them is pushed: each text is
-    parsed once, for the filters here and later ones alike.
+    is no number or time, or is NaN or infinite. Each needed text is parsed once,
+    for the filters here and later ones alike.
     """
     needed = list(dict.fromkeys(needed))
-    df = conform(scan_csv(spark, path), layout)
+    df = conform(scan_csv(spark, path), layout, parse_once=False)
     order, dated = df.columns, layout.dated and is_derived(df, "pickup_date")
-    others = [name for name in order if name not in needed and not (dated and name == "pickup_date")]
-    df = df.select(*others, F.inline(F.array(F.struct(*needed))))
+    df = evaluated_once(df.drop("pickup_date") if dated else df, *[name for name in needed if not (dated and name == "pickup_date")])
     if dated:
         df = with_pickup_date(df)
     df = df.select(*order)

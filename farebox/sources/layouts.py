@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.functions import parse_decimal, parse_stamp, parse_whole, utc_clock
-from farebox.operators.projection import with_pickup_date
+from farebox.operators.projection import evaluated_once, with_pickup_date
 
 
 @dataclass(frozen=True)
@@ -37,9 +37,12 @@ class Field:
 
 @dataclass(frozen=True)
 class Layout:
+    """A table's columns, whether it carries ``pickup_date``, and the time that reports filter on."""
+
     title: str
     fields: tuple[Field, ...]
     dated: bool = False
+    moment: str | None = None
 
     @property
     def raw_schema(self) -> T.StructType:
@@ -71,6 +74,7 @@ GPS_TRIPS = Layout(
         Field("improvement_surcharge", "double", "improvement_surcharge"),
         Field("total_amount", "double", "total_amount"),
     ),
+    moment="pickup_datetime",
 )
 
 ZONED_TRIPS = Layout(
@@ -98,6 +102,7 @@ ZONED_TRIPS = Layout(
         Field("cbd_congestion_fee", "double", "cbd_congestion_fee"),
     ),
     dated=True,
+    moment="pickup_datetime",
 )
 
 ZONES = Layout(
@@ -146,11 +151,14 @@ def _typed(column: Column, stored: T.DataType, wanted: str) -> Column:
     return column.try_cast(wanted)
 
 
-def conform(df: DataFrame, layout: Layout) -> DataFrame:
+def conform(df: DataFrame, layout: Layout, parse_once: bool = True) -> DataFrame:
     """Raw or already clean table -> typed columns of the layout.
 
     A field the table lacks becomes a typed NULL. Dated layouts carry
     ``pickup_date`` as a date, taken from the table or from the pickup time.
+
+    Where the layout's time is stored as text, it is parsed once a row, before any filter sees it; otherwise a filter with
+    many date spans would parse it for each of them. A stored timestamp stays bare.
     """
     require_columns(df, layout)
     stored = {field.name: field.dataType for field in df.schema.fields}
@@ -162,8 +170,14 @@ def conform(df: DataFrame, layout: Layout) -> DataFrame:
         return _typed(F.col(f"`{source}`"), stored[source], wanted).alias(name)
 
     columns = [pick(field.name, field.spellings, field.type) for field in layout.fields]
+    spellings = next((field.spellings for field in layout.fields if field.name == layout.moment), ())
+    texts = parse_once and isinstance(stored.get(find_column(df.columns, spellings)), T.StringType)
+
+    def settled(clean: DataFrame) -> DataFrame:
+        return evaluated_once(clean, layout.moment) if texts else clean
+
     if not layout.dated:
-        return df.select(*columns)
+        return settled(df.select(*columns))
     if (given := find_column(df.columns, ["pickup_date"])) is not None:
         columns.append(_typed(F.col(f"`{given}`"), stored[given], "date").alias("pickup_date"))
-    return with_pickup_date(df.select(*columns))
+    return with_pickup_date(settled(df.select(*columns)))

@@ -20,26 +20,118 @@ STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
-def lookup(fact: DataFrame, dimension: DataFrame, key: str, required: Sequence[str] = ()) -> DataFrame:
+def lookup(
+    fact: DataFrame, dimension: DataFrame, key: str, required: Sequence[str] = (), split_unmatched: bool = False
+) -> DataFrame:
     """Left lookup of dimension attributes.
 
     Rows whose ``required`` attributes stay NULL are dropped, and Catalyst then
     plans the lookup as an inner join. Without hints the size check is
     Catalyst's own: broadcast below its threshold, shuffled beyond it.
+
+    ``split_unmatched`` is for facts whose keys are often NULL or unknown to a
+    dimension too large to broadcast. Such rows, which would all meet in the
+    task of their key, go to no shuffle: NULL keys and frequent keys that the
+    dimension lacks are split off before, and come back with NULL attributes.
     """
+    if split_unmatched:
+        return _lookup_of_known(fact, dimension, key, required)
     joined = fact.join(dimension, on=key, how="left")
     return joined.where(present(*required)) if required else joined
 
 
+def _lookup_of_known(fact: DataFrame, dimension: DataFrame, key: str, required: Sequence[str]) -> DataFrame:
+    hot = hot_keys(fact.where(present(key)), [key])
+    # At most two frequent keys a partition, so the table of those that match nothing is bounded, and so is its broadcast.
+    lost = hot.join(dimension.select(key), on=key, how="left_anti").select(F.col(key).alias("_lost"))
+    marked = fact.join(F.broadcast(lost), fact[key] == F.col("_lost"), "left")
+    apart = F.col(key).isNull() | F.col("_lost").isNotNull()
+    joined = marked.where(~apart).drop("_lost").join(dimension, on=key, how="left")
+    if required:
+        return joined.where(present(*required))
+    return joined.unionByName(marked.where(apart).drop("_lost"), allowMissingColumns=True)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, rows, parts): the keys with more rows than half a partition's even share, and the parts to cut them into.
+
+    They are found at once, by jobs that read the keys alone and count them in
+    the tasks before they shuffle. At most two keys a shuffle partition can be
+    hot, so the result is a small local table, whatever the size of ``df``.
+    """
+    spark = df.sparkSession
+    most = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    narrow = df.select(*keys)
+    even = max(narrow.count() / most, 1.0)
+    counted = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > even)
+    hot = counted.withColumn("parts", F.ceil(F.col("rows") / even).cast("int"))
+    return spark.createDataFrame(hot.orderBy(F.desc("rows")).limit(most).collect(), hot.schema)
+
+
 def merge_all(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join on ``keys``; NULL keys never match.
 
     Meant for sides aggregated to one row per key: a full outer join cannot be
-    split on a hot key.
+    split on a hot key. ``merge_all_skewed`` is for raw sides.
     """
     return left.join(right, on=list(keys), how="full_outer")
 
 
+def merge_all_skewed(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Full outer join of sides that may hold hot or NULL keys.
+
+    For a key on both sides a full outer join is an inner join; for a key on
+    one side it is that side's rows. So keys that are hot on either side leave
+    the outer join: those on both sides are joined on a grid, the left rows cut
+    into parts that are repeated for each part of the right ones and the other
+    way round; those on one side, and NULL keys, are passed on without a shuffle.
+    """
+    keys = list(keys)
+    hot = _hot_on_either(left, right, keys)
+    sides = {}
+    for name, df, across in (("left", left, "right"), ("right", right, "left")):
+        tagged = df.join(F.broadcast(hot), on=keys, how="left")
+        whole = present(*keys)
+        alone = ~whole | (F.col(f"_{across}_parts") == 0)
+        sides[name] = {
+            "cold": tagged.where(whole & F.col("_left_parts").isNull()).select(*df.columns),
+            "alone": tagged.where(alone).select(*df.columns),
+            "grid": _on_grid(tagged.where(whole & (F.col("_left_parts") > 0) & (F.col("_right_parts") > 0)), df.columns, keys, name, across),
+        }
+    cold = sides["left"]["cold"].join(sides["right"]["cold"], on=keys, how="full_outer")
+    met = sides["left"]["grid"].join(sides["right"]["grid"], on=[*keys, "_left", "_right"]).drop("_left", "_right")
+    merged = cold.unionByName(met)
+    for name in ("left", "right"):
+        merged = merged.unionByName(sides[name]["alone"], allowMissingColumns=True)
+    return merged
+
+
+def _hot_on_either(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _left_parts, _right_parts) of keys hot on a side; 0 parts where a side lacks the key."""
+    found = []
+    for own, other, side, across in ((left, right, "left", "right"), (right, left, "right", "left")):
+        hot = hot_keys(own.where(present(*keys)), keys).select(*keys, F.col("parts").alias(f"_{side}_parts"))
+        counted = other.join(F.broadcast(hot.select(*keys)), on=keys, how="left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        both = hot.join(F.broadcast(counted), on=keys, how="left")
+        found.append(both.select(*keys, f"_{side}_parts", F.when(F.col("_n") > 0, 1).otherwise(0).alias(f"_{across}_parts")))
+    either = found[0].unionByName(found[1])
+    return either.groupBy(*keys).agg(*[F.max(f"_{side}_parts").alias(f"_{side}_parts") for side in ("left", "right")])
+
+
+def _on_grid(df: DataFrame, columns: Sequence[str], keys: list[str], side: str, across: str) -> DataFrame:
+    """A side's own part by a hash of the row, and a copy for each part of the other side."""
+    others = [name for name in columns if name not in keys and not _has_map(df.schema[name].dataType)]
+    own = F.pmod(F.xxhash64(*others) if others else F.lit(0).cast("long"), F.col(f"_{side}_parts")).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.col(f"_{across}_parts") - 1))
+    return df.select(*columns, own.alias(f"_{side}"), copies.alias(f"_{across}"))
+
+
+def _has_map(kind: T.DataType) -> bool:
+    """Whether a value holds a map, which has no hash."""
+    inner = [field.dataType for field in kind.fields] if isinstance(kind, T.StructType) else [kind.elementType] if isinstance(kind, T.ArrayType) else []
+    return isinstance(kind, T.MapType | T.VariantType) or any(map(_has_map, inner))
+
+
 def first_rows(dimension: DataFrame, key: str, count: int) -> DataFrame:
     return dimension.orderBy(key).limit(count)
 
@@ -76,11 +168,13 @@ def join_with_strategy(
 
     ``broadcast`` measures the right side first and raises beyond
     ``BROADCAST_LIMIT_BYTES``; the caller then chooses another strategy. The
-    shuffled strategies spread one hot key over ``salts`` tasks (one per shuffle
-    partition unless told otherwise) when ``salt_by`` names left columns to
-    derive the salt from; the right side is repeated once per salt. The salt is
-    a hash, so a task that runs again sends each row to the same place. Without
-    ``salt_by`` a hot key is left to adaptive execution, which splits it.
+    shuffled strategies spread hot keys when ``salt_by`` names left columns to
+    derive the salt from: a count of the left keys tells which are hot and into
+    how many parts each is cut (``salts`` at most), and the right side is
+    repeated for those alone, once a part. NULL keys, which match nothing, are
+    spread likewise. The salt is a hash, so a task that runs again sends each
+    row to the same place. Without ``salt_by`` a hot key is left to adaptive
+    execution, which splits it.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown join strategy {strategy!r}; choose from {', '.join(STRATEGIES)}")
@@ -98,7 +192,10 @@ def join_with_strategy(
     if not salt_by:
         return left.join(right.hint(strategy), on=key, how=how).select(*columns)
 
-    salts = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    parts = F.least("parts", F.lit(salts)) if salts else F.col("parts")
+    hot = F.broadcast(hot_keys(left, [key]).select(F.col(key).alias("_hot"), parts.alias("_parts")))
+    part = F.pmod(F.xxhash64(*salt_by), F.col("_parts")).cast("int")
+    salted = left.join(hot, left[key].eqNullSafe(F.col("_hot")), "left").withColumn("_salt", F.coalesce(part, F.lit(0)))
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_parts") - 1, F.lit(0)))
+    repeated = right.join(hot, right[key] == F.col("_hot"), "left").select(*right.columns, F.explode(copies).alias("_salt"))
     return salted.join(repeated.hint(strategy), on=[key, "_salt"], how=how).select(*columns)

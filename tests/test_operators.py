@@ -20,10 +20,12 @@ from farebox.operators.aggregates import (
 from farebox.operators.filters import moment_in, valid_point
 from farebox.operators.joins import (
     first_rows,
+    hot_keys,
     join_with_strategy,
     lookup,
     measured_bytes,
     merge_all,
+    merge_all_skewed,
 )
 from farebox.operators.projection import in_role, text_keys, with_defaults, with_revenue_defaults
 from farebox.operators.ranking import running_total, top_overall, top_per_group
@@ -242,7 +244,8 @@ def test_join_strategies(spark, how, strategy, salt_by, label):
     assert joined.columns == ["n", "k", "name"]
     assert sorted(map(tuple, rows), key=repr) == brute_force_left(how == "left")
     if strategy != "auto":
-        assert strategy_labels(joined) == [label]
+        others = {"BROADCAST"} if salt_by else set()  # the small table of hot keys
+        assert label in strategy_labels(joined) and set(strategy_labels(joined)) <= {label} | others
 
 
 def test_broadcast_beyond_the_limit_is_an_error(spark, monkeypatch):
@@ -293,3 +296,95 @@ def test_merge_all_never_matches_null_keys(spark):
     right = spark.createDataFrame([(1, "a", 7), (2, "b", 8), (None, None, 9)], "k int, z string, d int")
     got = sorted(map(tuple, merge_all(left, right, ["k", "z"]).collect()), key=repr)
     assert got == sorted([(1, "a", 5, 7), (2, "b", None, 8), (None, None, 6, None), (None, None, None, 9)], key=repr)
+
+
+SKEWED = [(n, None if n % 3 == 0 else 7 if n % 3 == 1 else n) for n in range(600)]
+
+
+def test_hot_keys_are_few_and_counted(spark):
+    found = {r.k: (r.rows, r.parts) for r in hot_keys(spark.createDataFrame(SKEWED, "n int, k int"), ["k"]).collect()}
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = -(-200 * 2 * partitions // 600)
+    assert found == {None: (200, parts), 7: (200, parts)}
+    assert hot_keys(spark.createDataFrame([], "k int"), ["k"]).count() == 0
+
+
+@pytest.mark.parametrize("required", [(), ("name",)])
+def test_lookup_with_unmatched_keys_split_off(spark, required):
+    """A third of the keys is NULL, a third is a key that the dimension lacks."""
+    fact = spark.createDataFrame(SKEWED, "n int, k int")
+    dim = spark.createDataFrame([(n, f"name{n}") for n in range(0, 600, 5)] + [(8, None)], "k int, name string")
+    plain = sorted(map(tuple, lookup(fact, dim, "k", required).select("n", "k", "name").collect()), key=repr)
+    split = lookup(fact, dim, "k", required, split_unmatched=True)
+    assert sorted(split.columns) == ["k", "n", "name"]
+    assert sorted(map(tuple, split.select("n", "k", "name").collect()), key=repr) == plain
+
+
+def test_rows_that_match_nothing_meet_in_no_task(spark):
+    """Without adaptive execution or a broadcast: the largest task has its even share of the rest."""
+    fact = spark.createDataFrame(SKEWED, "n int, k int").repartition(8)
+    dim = spark.createDataFrame([(n, f"name{n}") for n in range(0, 600, 5)], "k int, name string")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        def largest(joined):
+            return max(r["count"] for r in joined.groupBy(F.spark_partition_id().alias("task")).count().collect())
+
+        assert largest(lookup(fact, dim, "k")) >= 200
+        assert largest(lookup(fact, dim, "k", split_unmatched=True)) < 100
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+SIDES = {
+    "hot on both": ([7] * 300 + list(range(40)), [7] * 90 + list(range(20, 60))),
+    "hot on one": ([7] * 300 + [1, 2], [1, 3, None]),
+    "hot on the other": ([1, None, None], [7] * 300 + [1, 1]),
+    "NULL": ([None] * 200 + [1], [None] * 100 + [1, 2]),
+    "empty": ([], [1, 2, 2]),
+    "no hot key": (list(range(50)), list(range(25, 75))),
+}
+
+
+@pytest.mark.parametrize("name", list(SIDES))
+def test_full_outer_merge_of_skewed_sides(spark, name):
+    left, right = SIDES[name]
+    a = spark.createDataFrame([(k, "z", n) for n, k in enumerate(left)], "k int, z string, p int").repartition(3)
+    b = spark.createDataFrame([(k, "z", n) for n, k in enumerate(right)], "k int, z string, d int").repartition(2)
+    merged, plain = merge_all_skewed(a, b, ["k", "z"]), merge_all(a, b, ["k", "z"])
+    assert merged.columns == plain.columns
+    assert sorted(map(tuple, merged.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+def test_a_key_hot_on_both_sides_meets_in_many_tasks(spark):
+    a = spark.range(400).select((F.col("id") * 0).alias("k"), F.col("id").alias("p"))
+    b = spark.range(300).select((F.col("id") * 0).alias("k"), F.col("id").alias("d"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        tasks = merge_all_skewed(a, b, ["k"]).groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert sum(r["count"] for r in tasks) == 400 * 300
+        assert max(r["count"] for r in tasks) < 400 * 300 / 3
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_only_hot_keys_of_the_dimension_are_repeated(spark):
+    """1,000 shuffle partitions and one hot key: the other rows of the dimension stay single."""
+    fact = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("k"))
+    dim = spark.range(2000).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1000")
+    try:
+        joined = join_with_strategy(fact, dim, "k", strategy="merge", salt_by=["id"])
+        parts = hot_keys(fact, ["k"]).collect()
+        assert [(r.k, r.rows) for r in parts] == [(5, 1001)] and parts[0].parts <= 1000
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        rows = {r.id: (r.k, r.name) for r in joined.collect()}
+        assert rows == {n: ((k := 5 if n % 3 == 0 else n), f"n{k}" if k < 2000 else None) for n in range(3000)}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

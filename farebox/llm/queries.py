@@ -13,9 +13,9 @@ from farebox.llm.lexical_search import LEXICAL_SQL, search_documents
 from farebox.llm.line_dedup import LINES_SQL, drop_boilerplate
 from farebox.llm.mixing import MIX_SQL, mix_sources
 from farebox.llm.ngram_join import similar_documents
+from farebox.llm.passage_dedup import PASSAGES_SQL, remove_passages
 from farebox.llm.quality import held_out, quality_of
 from farebox.llm.sentencepiece_bpe import encode_documents
-from farebox.llm.substring_dedup import REPEATS_SQL, remove_repeats
 from farebox.llm.suffix_dedup import remove_repeated_substrings
 from farebox.llm.topk import top_k
 from farebox.llm.toxicity import score_toxicity, train_toxicity
@@ -88,12 +88,12 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), short_runs=False)  # the SQL knows lines alone
+    cut = remove_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
     places = F.array_join(F.transform("removed", lambda x: F.concat_ws("-", x.start, x.end)), ",")
     return cut.select("doc_id", "n_removed", "text", places.alias("removed"))
 
 
-ORACLES["op7_substring_dedup"] = REPEATS_SQL
+ORACLES["op7_substring_dedup"] = PASSAGES_SQL
 
 
 @query

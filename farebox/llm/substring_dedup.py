@@ -3,7 +3,7 @@
 A text is cut into units at a separator (line feeds by default). A unit of at least ``min_words`` words is normalised
 (lower case, blanks collapsed and trimmed) and hashed with MD5. A longest run of neighbouring shorter units, which an empty
 or a long unit ends, is joined by blanks and hashed as one if it has ``min_words`` words together; so passages wrapped into short lines are
-found, and lone headings and standard phrases stay. ``short_runs=False`` never touches short units, as the SQL here has it. Over all documents the occurrence of the lowest rank keeps the unit: smallest id, then text hash, then
+found, and lone headings and standard phrases stay. ``short_runs=False`` never touches short units. Over all documents the occurrence of the lowest rank keeps the unit: smallest id, then text hash, then
 place in the text. All others are removed, and ``removed`` retains their places in the original text, as (start, end)
 in characters, in order.
 
@@ -79,21 +79,3 @@ def remove_repeats(docs: DataFrame, separator: str = "\n", min_words: int = MIN_
     out = cut.withColumn("removed", spans)
     return out.select(*[F.col("__new").alias("text") if c == "text" else F.col(c) for c in names], "removed", F.size("removed").alias("n_removed"))
 
-
-REPEATS_SQL = r"""
-WITH docs AS (SELECT doc_id, text, string_split(text, chr(10)) AS pieces FROM documents),
-units AS (
-  SELECT doc_id, md5(text) AS version, pos, trim(regexp_replace(lower(pieces[pos]), '[\x20\x09-\x0D]+', ' ', 'g')) AS unit
-  FROM (SELECT DISTINCT doc_id, text, pieces, unnest(range(1, len(pieces) + 1)) AS pos FROM docs WHERE text IS NOT NULL)),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY unit ORDER BY doc_id NULLS LAST, version, pos) AS place
-  FROM units WHERE len(string_split(unit, ' ')) >= 20),
-gone AS (SELECT doc_id, version, list(pos) AS gone FROM ranked WHERE place > 1 GROUP BY doc_id, version)
-SELECT d.doc_id, coalesce(len(g.gone), 0)::INTEGER AS n_removed,
-       CASE WHEN g.gone IS NULL THEN d.text
-            ELSE array_to_string(list_filter(pieces, lambda x, i: NOT list_contains(g.gone, i)), chr(10)) END AS text,
-       coalesce(array_to_string(list_transform(list_sort(g.gone), lambda p:
-         coalesce(list_sum(list_transform(pieces[1:p - 1], lambda x: length(x) + 1)), 0)::BIGINT::VARCHAR || '-' ||
-         (coalesce(list_sum(list_transform(pieces[1:p - 1], lambda x: length(x) + 1)), 0) + length(pieces[p]))::BIGINT::VARCHAR), ','), '') AS removed
-FROM docs d LEFT JOIN gone g ON d.doc_id IS NOT DISTINCT FROM g.doc_id AND md5(d.text) = g.version
-"""

@@ -102,12 +102,12 @@ def slice_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(k, 1).to_pylist()[0]
 
 
-def shared_values(slices: DataFrame, parts: int, length: int, hot_bytes: int) -> DataFrame:
+def shared_values(slices: DataFrame, parts: int, length: int, hot_bytes: int, kind: type[Slice] = Slice) -> DataFrame:
     """(slice, part, shared, hot): bits for a slice's values of a part, whether they stand in other slices and are hot."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in slice_rows(batches):
-            one = Slice(row, length)
+            one = kind(row, length)
             one.runs()
             sizes = np.bincount(one.of, one.count + length - 1, minlength=len(one.known))
             split = [(p, x) for p, x in enumerate(one.parts(parts)) if len(x)]

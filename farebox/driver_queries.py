@@ -26,6 +26,7 @@ from farebox.functions import (
     stripped,
 )
 from farebox.operators.aggregates import (
+    exact_percentile_by,
     first_run_mean,
     histogram,
     imbalance,
@@ -44,7 +45,7 @@ from farebox.operators.filters import (
     positive,
     valid_point,
 )
-from farebox.operators.joins import join_with_strategy, lookup, merge_all
+from farebox.operators.joins import join_with_strategy, lookup, merge_all, merge_all_skewed
 from farebox.operators.projection import (
     in_role,
     text_keys,
@@ -53,7 +54,7 @@ from farebox.operators.projection import (
     with_hour_label,
     with_pickup_date,
 )
-from farebox.operators.ranking import running_total, top_overall, top_per_group
+from farebox.operators.ranking import running_total, running_total_sliced, top_overall, top_per_group
 from farebox.params import ReportWindow
 from farebox.plans import HOURLY_NEEDS, TIP_NEEDS
 from farebox.plans.event_trips import event_trips, nation_zones, read_table
@@ -810,6 +811,21 @@ def join_left_notnull(spark: SparkSession, folder: str) -> DataFrame:
     return named.select("event_id", "pickup_borough", "pickup_zone")
 
 
+@query(
+    "join_left_split",
+    f"""
+{WITH_ZONED}, loose AS (SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN pu_location_id END AS pu_location_id FROM trips)
+SELECT event_id, pu_location_id, borough AS pickup_borough, zone AS pickup_zone FROM loose LEFT JOIN zones ON pu_location_id = location_id
+""",
+)
+def join_left_split(spark: SparkSession, folder: str) -> DataFrame:
+    """A third of the trips has no zone id, and two ids are not among the zones: these go to no shuffle."""
+    trips = event_trips(spark, folder).select("event_id", F.when(F.col("event_id") % 3 != 0, F.col("pu_location_id")).alias("pu_location_id"))
+    zones = in_role(nation_zones(spark, folder), PICKUP_ZONE)
+    named = lookup(trips, zones, "pu_location_id", split_unmatched=True)
+    return named.select("event_id", "pu_location_id", "pickup_borough", "pickup_zone")
+
+
 @query(
     "join_role_playing",
     f"""
@@ -874,6 +890,29 @@ def join_full_outer(spark: SparkSession, folder: str) -> DataFrame:
     return merged.na.fill(0, ["pickups", "dropoffs"])
 
 
+@query(
+    "join_full_outer_skewed",
+    """
+WITH o AS (SELECT o_custkey % 40 AS k, o_orderkey FROM orders WHERE o_orderkey % 5 = 0),
+     c AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN 7 WHEN c_custkey % 11 = 0 THEN NULL ELSE c_custkey % 60 END AS k, c_custkey FROM customer)
+SELECT k, count(*) AS rows, count(o_orderkey) AS orders, count(c_custkey) AS customers,
+       CAST(sum(coalesce(o_orderkey, 0) % 13 * (coalesce(c_custkey, 0) % 17)) AS BIGINT) AS mixed
+FROM o FULL OUTER JOIN c USING (k) GROUP BY k
+""",
+)
+def join_full_outer_skewed(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw rows of both sides; a third of the customers share one key."""
+    orders = read_table(spark, folder, "orders").where("o_orderkey % 5 = 0").selectExpr("o_custkey % 40 AS k", "o_orderkey")
+    key = "CASE WHEN c_custkey % 3 = 0 THEN 7 WHEN c_custkey % 11 = 0 THEN NULL ELSE c_custkey % 60 END AS k"
+    merged = merge_all_skewed(orders, read_table(spark, folder, "customer").selectExpr(key, "c_custkey"), ["k"])
+    return merged.groupBy("k").agg(
+        row_count().alias("rows"),
+        F.count("o_orderkey").alias("orders"),
+        F.count("c_custkey").alias("customers"),
+        F.expr("sum(coalesce(o_orderkey, 0) % 13 * (coalesce(c_custkey, 0) % 17))").alias("mixed"),
+    )
+
+
 STRATEGY_SQL = f"""
 {WITH_ZONED}
 SELECT event_id, zone AS pickup_zone FROM trips LEFT JOIN zones ON pu_location_id = location_id
@@ -985,6 +1024,21 @@ def agg_percentile_approx(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(percentile_by(fares, ["hour_of_day"], "fare_amount", "p90_fare"))
 
 
+@query(
+    "agg_percentile_exact",
+    """
+SELECT l_returnflag, round(quantile_disc(l_extendedprice, 0.9), 6) AS p90_price, round(quantile_disc(l_quantity, 0.5), 6) AS median_quantity
+FROM lineitem GROUP BY l_returnflag
+""",
+)
+def agg_percentile_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of more rows than a sketch holds exactly."""
+    lines = read_table(spark, folder, "lineitem").select("l_returnflag", "l_extendedprice", "l_quantity")
+    prices = exact_percentile_by(lines, ["l_returnflag"], "l_extendedprice", "p90_price")
+    medians = exact_percentile_by(lines, ["l_returnflag"], "l_quantity", "median_quantity", fraction=0.5)
+    return rounded(prices.join(medians, "l_returnflag"))
+
+
 @query(
     "agg_histogram",
     f"""
@@ -1163,6 +1217,22 @@ def win_running_total(spark: SparkSession, folder: str) -> DataFrame:
     return running_total(bins, by=["hour_of_day"], along="bin", value="rows", name="reached")
 
 
+@query(
+    "win_running_total_sliced",
+    f"""
+{WITH_TRIPS}
+SELECT vendor_id, event_id, CAST(sum(event_id % 7) OVER (PARTITION BY vendor_id ORDER BY pickup_datetime NULLS FIRST, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS reached,
+       CAST(sum(event_id % 7) OVER (PARTITION BY vendor_id) AS BIGINT) AS in_all
+FROM trips
+""",
+)
+def win_running_total_sliced(spark: SparkSession, folder: str) -> DataFrame:
+    """Running totals of two groups that hold all rows, in slices of the time."""
+    trips = event_trips(spark, folder).select("vendor_id", "pickup_datetime", "event_id", (F.col("event_id") % 7).alias("points"))
+    running = running_total_sliced(trips, by=["vendor_id"], along="pickup_datetime", value="points", name="reached", total="in_all")
+    return running.select("vendor_id", "event_id", "reached", "in_all")
+
+
 @query(
     "sort_nulls_last",
     f"""

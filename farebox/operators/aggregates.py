@@ -7,13 +7,15 @@ shuffle, so a group holding most of the rows costs one small record per task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farebox.functions import finite, or_zero, ratio
 from farebox.operators.projection import evaluated_once
-from farebox.operators.ranking import running_total
+from farebox.operators.ranking import running_total, running_total_sliced
 
 # Distance histogram of the hourly report.
 BIN_KM = 0.5
@@ -24,6 +26,9 @@ TAIL_FRACTION = 0.9
 # no more rows than this.
 SKETCH_SIZE = 8192
 
+# Part of the rows on either side of a percentile that an exact one is sought in: ten times the error of a sketch.
+BRACKET = 0.005
+
 
 def row_count() -> Column:
     return F.count(F.lit(1))
@@ -55,6 +60,42 @@ def percentile_by(
     return merged.withColumn(name, tail).drop("_sketch")
 
 
+def exact_percentile_by(df: DataFrame, keys: Sequence[str], value: str, name: str, fraction: float = TAIL_FRACTION) -> DataFrame:
+    """Exact discrete percentile per key: the least value that at least ``fraction`` of the group's values do not exceed.
+
+    NULL and NaN are left out; a group without any other value gives NULL. Two
+    passes: a sketch brackets each group's percentile between two of its values,
+    ``BRACKET`` of the rows to either side, ten times what the sketch may be off.
+    The second pass counts the values inside the bracket, about 1 % of the rows,
+    and how many lie below it, all combined in the tasks; the running total over
+    them is spread over tasks too. Were a percentile outside its bracket, that
+    would be an error, never a wrong value.
+    """
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    usable = df.select(*keys, F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double")).alias("_v"))
+    parts = usable.withColumn("_salt", F.spark_partition_id() % salts).groupBy(*keys, "_salt")
+    sketches = parts.agg(F.kll_sketch_agg_double("_v", F.lit(SKETCH_SIZE)).alias("_sketch")).groupBy(*keys)
+    merged = sketches.agg(F.kll_merge_agg_double("_sketch", F.lit(SKETCH_SIZE)).alias("_sketch"))
+    count = F.kll_sketch_get_n_double("_sketch")
+
+    def edge(shift: float) -> Column:
+        place = min(max(fraction + shift, 0.0), 1.0)
+        return F.when(count > 0, F.kll_sketch_get_quantile_double("_sketch", F.lit(place)))
+
+    rank = F.greatest(F.ceil(count * F.lit(fraction)), F.lit(1))
+    brackets = merged.select(*[F.col(k).alias(f"_of_{k}") for k in keys], rank.alias("_rank"), edge(-BRACKET).alias("_low"), edge(BRACKET).alias("_high"))
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys))
+    beside = float("inf")
+    cell = F.when(F.col("_v") < F.col("_low"), -beside).when(F.col("_v") > F.col("_high"), beside).otherwise(F.col("_v"))
+    told = usable.join(brackets, same, "left").select(*keys, "_rank", cell.alias("_cell"), (F.col("_v") < F.col("_low")).alias("_below"), (F.col("_v") > F.col("_high")).alias("_above"))
+    cells = told.groupBy(*keys, "_cell", "_below", "_above").agg(F.count("_cell").alias("_rows"), F.first("_rank").alias("_rank"))
+    reached = running_total_sliced(cells, by=keys, along="_cell", value="_rows", name="_reached")
+    outside = F.coalesce(F.col("_below") | F.col("_above"), F.lit(False))
+    sure = F.when(outside, F.raise_error(F.lit("a percentile lies outside its bracket")).cast("double")).otherwise(F.col("_cell"))
+    holds = (F.col("_reached") >= F.col("_rank")) & (F.col("_reached") - F.col("_rows") < F.col("_rank"))
+    return reached.groupBy(*keys).agg(F.max(F.when(holds, sure)).alias(name))
+
+
 def share(condition: Column) -> Column:
     """Part of the rows meeting the condition (unknown counts as not met), a double."""
     return F.avg(F.when(condition, 1.0).otherwise(0.0))

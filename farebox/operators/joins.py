@@ -120,16 +120,16 @@ def _hot_on_either(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFr
 
 def _on_grid(df: DataFrame, columns: Sequence[str], keys: list[str], side: str, across: str) -> DataFrame:
     """A side's own part by a hash of the row, and a copy for each part of the other side."""
-    others = [name for name in columns if name not in keys and not _has_map(df.schema[name].dataType)]
+    others = [name for name in columns if name not in keys and not has_map(df.schema[name].dataType)]
     own = F.pmod(F.xxhash64(*others) if others else F.lit(0).cast("long"), F.col(f"_{side}_parts")).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.col(f"_{across}_parts") - 1))
     return df.select(*columns, own.alias(f"_{side}"), copies.alias(f"_{across}"))
 
 
-def _has_map(kind: T.DataType) -> bool:
+def has_map(kind: T.DataType) -> bool:
     """Whether a value holds a map, which has no hash."""
     inner = [field.dataType for field in kind.fields] if isinstance(kind, T.StructType) else [kind.elementType] if isinstance(kind, T.ArrayType) else []
-    return isinstance(kind, T.MapType | T.VariantType) or any(map(_has_map, inner))
+    return isinstance(kind, T.MapType | T.VariantType) or any(map(has_map, inner))
 
 
 def first_rows(dimension: DataFrame, key: str, count: int) -> DataFrame:
@@ -148,11 +148,15 @@ def _width(field: T.StructField) -> Column:
     return F.coalesce(length, F.lit(0)).cast("long")
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """Estimated bytes of a row in memory."""
+    row_overhead = 32
+    return sum((_width(field) for field in df.schema.fields), F.lit(row_overhead).cast("long"))
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Estimated in-memory size of a table, summed on the executors in one job."""
-    row_overhead = 32
-    row_width = sum((_width(field) for field in df.schema.fields), F.lit(row_overhead).cast("long"))
-    return df.agg(F.coalesce(F.sum(row_width), F.lit(0)).alias("bytes")).first()["bytes"]
+    return df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
 def join_with_strategy(

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.functions import finite
+from farebox.operators.joins import has_map, row_bytes
 from farebox.operators.projection import evaluated_once, is_derived, with_pickup_date
 from farebox.sources.layouts import GPS_TRIPS, ZONED_TRIPS, ZONES, Layout, conform
 
@@ -18,6 +21,9 @@ GPS_FOLDER = "trip_2015"
 ZONED_FOLDER = "trip_2024"
 ZONES_FOLDER = "zones"
 
+# Bytes of rows, as measured in memory, that one file of a partitioned write holds.
+FILE_BYTES = 256 * 1024 * 1024
+
 
 @dataclass(frozen=True)
 class TripTables:
@@ -112,14 +118,35 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     A partitioned write is rebalanced first: adaptive execution gathers each
     partition value into well-sized files and splits a value that is too large
     for one task, where every task would otherwise open a file per value. With
-    adaptive execution off the hint does nothing.
+    adaptive execution off the rows of each value are counted instead, and the
+    value is dealt to as many tasks as its size asks for.
     """
     if partition_by:
-        df = df.hint("rebalance", *[F.col(name) for name in partition_by])
+        adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+        df = df.hint("rebalance", *[F.col(name) for name in partition_by]) if adaptive else dealt_to_files(df, partition_by)
     writer = df.write.mode(mode).option("compression", "snappy")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def dealt_to_files(df: DataFrame, partition_by: Sequence[str], file_bytes: int | None = None) -> DataFrame:
+    """Rows shuffled so that each partition value fills files of about ``file_bytes`` (``FILE_BYTES``) of its own, as measured.
+
+    One pass sums the bytes of each value, in the tasks first. The sizes, a row a
+    partition value, as many as the folders to be written, are joined to the
+    rows, of which a hash picks the file.
+    """
+    spark, names = df.sparkSession, list(partition_by)
+    sizes = df.groupBy(*names).agg(F.sum(row_bytes(df.drop(*names))).alias("_bytes"))
+    files = sizes.select(*[F.col(name).alias(f"_of_{name}") for name in names], F.ceil(F.col("_bytes") / (file_bytes or FILE_BYTES)).cast("int").alias("_files"))
+    counted = files.collect()
+    same = reduce(and_, (F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in names))
+    told = df.join(F.broadcast(spark.createDataFrame(counted, files.schema)), same, "left")
+    hashable = [name for name in df.columns if name not in names and not has_map(df.schema[name].dataType)]
+    file = F.pmod(F.xxhash64(*hashable) if hashable else F.lit(0).cast("long"), F.greatest("_files", F.lit(1)))
+    tasks = max(1, sum(row["_files"] or 1 for row in counted))
+    return told.withColumn("_file", file).repartition(tasks, *names, "_file").select(*df.columns)
+
+
 def convert_tables(spark: SparkSession, gps_trips: str, zoned_trips: str, zones: str, target: str) -> None:
     """The three CSV tables as clean Parquet below ``target``; zoned trips by pickup date."""
     tables = load_tables(spark, gps_trips, zoned_trips, zones, "csv")

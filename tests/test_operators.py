@@ -7,6 +7,7 @@ from collections import defaultdict
 import pytest
 from farebox.functions import finite, great_circle_km, great_circle_km_arrow, ratio
 from farebox.operators.aggregates import (
+    exact_percentile_by,
     first_run_mean,
     histogram,
     histogram_percentile,
@@ -27,8 +28,8 @@ from farebox.operators.joins import (
     merge_all,
     merge_all_skewed,
 )
-from farebox.operators.projection import in_role, text_keys, with_defaults, with_revenue_defaults
-from farebox.operators.ranking import running_total, top_overall, top_per_group
+from farebox.operators.projection import evaluated_once, in_role, text_keys, with_defaults, with_revenue_defaults
+from farebox.operators.ranking import running_total, running_total_sliced, top_overall, top_per_group
 from farebox.params import ReportWindow
 from joinplans import strategy_labels
 from pyspark.sql import functions as F
@@ -388,3 +389,77 @@ def test_only_hot_keys_of_the_dimension_are_repeated(spark):
         assert rows == {n: ((k := 5 if n % 3 == 0 else n), f"n{k}" if k < 2000 else None) for n in range(3000)}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def plain_running(rows):
+    reached, out = defaultdict(int), []
+    for g, t, n in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2])):
+        reached[g] += n
+        out.append((g, t, n, reached[g]))
+    return sorted([(*r, reached[r[0]]) for r in out], key=repr)
+
+
+@pytest.mark.parametrize("slices", [1, 2, 7, None])
+def test_running_total_in_slices(spark, slices):
+    rng = random.Random(7)
+    rows = [(rng.choice(["a", "a", "b", None]), rng.choice([None, *range(40)]), rng.randint(1, 9) * 100 + n % 100) for n in range(400)]
+    rows = list({(g, t, n): None for g, t, n in rows})
+    df = spark.createDataFrame(rows, "g string, t int, n long").repartition(5)
+    out = running_total_sliced(df, ["g"], "t", "n", "reached", total="in_all", slices=slices)
+    assert sorted(map(tuple, out.select("g", "t", "n", "reached", "in_all").collect()), key=repr) == plain_running(rows)
+    assert running_total_sliced(df.limit(0), ["g"], "t", "n", "reached").count() == 0
+
+
+def test_running_total_of_one_group_is_spread(spark):
+    df = spark.range(4000).select(F.lit(1).alias("g"), F.col("id").alias("t"))
+    settings = {"spark.sql.adaptive.enabled": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        out = running_total_sliced(df, ["g"], "t", "t", "reached", slices=16)
+        tasks = out.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert sum(r["count"] for r in tasks) == 4000 and max(r["count"] for r in tasks) < 2000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "double", "decimal(20,3)"])
+def test_running_total_along_other_types(spark, kind):
+    df = spark.range(50).select(F.lit("a").alias("g"), "id", (F.lit("2024-01-01").cast("timestamp") + F.make_interval(days=F.col("id").cast("int"))).alias("m"))
+    along = F.col("m").cast(kind) if kind.startswith(("date", "time")) else F.col("id").cast(kind)
+    out = running_total_sliced(df.select("g", "id", along.alias("t")), ["g"], "t", "id", "reached", slices=5)
+    assert {r.id: r.reached for r in out.collect()} == {n: n * (n + 1) // 2 for n in range(50)}
+    with pytest.raises(ValueError, match="number, date or time"):
+        running_total_sliced(df, ["g"], "g", "id", "reached")
+
+
+@pytest.mark.parametrize("fraction", [0.0, 0.001, 0.5, 0.9, 1.0])
+def test_exact_percentile_of_large_groups(spark, fraction):
+    """More rows per group than a sketch holds; one group of a single value, one of NULL and NaN, and infinite values."""
+    rng = random.Random(9)
+    rows = [("big", rng.gauss(0, 100)) for _ in range(30_000)] + [("ties", float(rng.randrange(5))) for _ in range(20_000)]
+    rows += [("one", 4.5), ("none", None), ("none", float("nan")), ("ends", float("-inf")), ("ends", 1.0), ("ends", float("inf"))]
+    out = exact_percentile_by(spark.createDataFrame(rows, "k string, v double").repartition(6), ["k"], "v", "p", fraction)
+    got = {r.k: r.p for r in out.collect()}
+    for key in ("big", "ties", "one", "ends"):
+        values = sorted(v for k, v in rows if k == key)
+        assert got[key] == values[max(math.ceil(len(values) * fraction), 1) - 1], key
+    assert got["none"] is None and len(got) == 5
+
+
+def test_approximate_percentile_of_a_large_group_is_near(spark):
+    rng = random.Random(10)
+    values = sorted(rng.random() for _ in range(60_000))
+    df = spark.createDataFrame([(1, v) for v in values], "k int, v double").repartition(8)
+    (row,) = percentile_by(df, ["k"], "v", "p").collect()
+    assert abs(sum(v <= row.p for v in values) / len(values) - 0.9) < 0.001
+
+
+def test_a_costly_column_is_computed_once(spark):
+    df = spark.range(10).select("id", F.sqrt(F.col("id") * 2.0 + 1).alias("v"))
+    once = evaluated_once(df, "v")
+    tested = once.where((F.col("v") > 1) & (F.col("v") < 4) & (F.col("v") != 2)).select("id", (F.col("v") * 2).alias("w"), "v")
+    plan = tested._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("SQRT") == 1 and once.columns == ["id", "v"]
+    assert tested.count() == sum(1 < math.sqrt(2 * n + 1) < 4 for n in range(10))

@@ -10,7 +10,7 @@ from farebox import ReportWindow, plans
 from farebox.driver_queries import QUERIES
 from farebox.operators.joins import join_with_strategy
 from farebox.plans.event_trips import event_trips, nation_zones
-from farebox.sources import convert_tables
+from farebox.sources import convert_tables, load_tables
 from farebox.sources.files import load_converted
 from joinplans import strategy_labels
 from pyspark.sql import functions as F
@@ -173,3 +173,28 @@ def test_percentiles_keep_the_scan_as_it_is(spark, data):
 def test_derived_dates_reach_a_plain_parquet_scan(spark, data):
     plan = plan_of(QUERIES["src_parquet_unpartitioned"](spark, data))
     assert "GreaterThanOrEqual(pickup_datetime" in plan and "LessThan(pickup_datetime" in plan
+
+
+def test_csv_stamps_are_parsed_once(spark, tmp_path):
+    """Whatever the number of dates, the filter compares a stamp that was parsed below it."""
+    tables = load_tables(spark, **samples.write_all(tmp_path / "raw"), fmt="csv")
+    window = ReportWindow.from_id(600)
+    assert len(window.date_spans) > 3
+    reports = [
+        plans.zone_flows(tables.zoned_trips, tables.zones, window),
+        plans.zone_flows_sql(tables.zoned_trips, tables.zones, window),
+        plans.card_tips(tables.zoned_trips, tables.zones, window),
+        plans.card_tips_sql(tables.zoned_trips, tables.zones, window),
+        plans.zone_balance(tables.zoned_trips, tables.zones, window),
+        plans.zone_revenue(tables.zoned_trips, tables.zones, window),
+        plans.zone_join(tables.zoned_trips, tables.zones, window),
+    ]
+    for report in reports:
+        plan = report._jdf.queryExecution().optimizedPlan().toString()
+        stamps = 1 + ("dropoff_datetime" in report.columns)
+        assert plan.count("d{4}-") == stamps, plan  # the pattern of a stamp
+
+
+def test_the_histogram_computes_a_distance_once(spark, data):
+    plan = QUERIES["q1_histogram_p90"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.upper().count("ASIN(") + plan.upper().count("ATAN2(") == 1, plan

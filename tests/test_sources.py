@@ -280,3 +280,20 @@ def test_released_tables_leave_storage(spark):
     assert cached.count() == 10 and cached.storageLevel.useMemory
     release(cached)
     assert not cached.storageLevel.useMemory
+
+
+def test_a_hot_date_fills_several_files_without_adaptive_execution(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("farebox.sources.files.FILE_BYTES", 40_000)
+    days = spark.range(6000).select(
+        "id", F.when(F.col("id") % 3 > 0, F.lit("2024-01-01")).when(F.col("id") % 50 > 0, F.lit("2024-01-02")).cast("date").alias("pickup_date")
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_parquet(days.repartition(7), str(tmp_path / "hot"), partition_by=["pickup_date"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    files = {folder.name: len(list(folder.glob("*.parquet"))) for folder in (tmp_path / "hot").iterdir() if folder.is_dir()}
+    assert 3 <= files["pickup_date=2024-01-01"] <= 6 and files["pickup_date=2024-01-02"] <= 3
+    assert files["pickup_date=__HIVE_DEFAULT_PARTITION__"] == 1
+    back = spark.read.parquet(str(tmp_path / "hot"))
+    assert back.exceptAll(days).count() == days.exceptAll(back).count() == 0

@@ -4,17 +4,17 @@ Vectors become integers, floor(256 * x), padded with zeros to the longest. With
 sqrt(M^2 - |x|^2) for the stored vectors, M the largest norm, and 0 for the queries, the largest inner products are the
 smallest distances, so bounds from the triangle inequality hold.
 
-1. Pivots are centres fitted on a bounded sample (``sample`` rows by a hash of the id; a few rounds of k-means); every vector is
-   keyed by its nearest pivot and by the annulus its distance to it falls in. A cell (pivot, annulus) with many rows is dealt to
-   several blocks by a hash of the id, so a frequent vector or direction fills many blocks instead of one.
-2. A query first searches one block of its most promising cell; its k-th best score there is a threshold.
-3. It then visits the blocks of only those cells whose annulus can hold something as good: the distance to anything in
-   annulus [a, b] around a pivot at distance d is at least a - d and d - b, and, past the half plane towards the query's own nearest
-   pivot, at least half the difference of the distances. Within a block, rows sorted by distance are cut to the span that can qualify.
-4. The best k of all blocks win; ties go to the smaller id. Nothing is approximated: bounds are widened by more than rounding can shift.
+1. Pivots are centres fitted on a bounded sample (``SAMPLE`` rows a pivot, by a hash of the id; a few rounds of k-means), as many as the square
+   root of the table's rows, ``PIVOTS`` to ``MOST_PIVOTS``. Every vector is keyed by its nearest pivot and by the annulus its distance to it falls in. A
+   cell (pivot, annulus) with many rows is dealt to several blocks by chance, so a frequent vector, direction or id fills many blocks instead of one.
+2. A query expands the annuli in the order of the least distance that each can hold: to anything in annulus [a, b] around a pivot at
+   distance d it is at least a - d and d - b, and, past the half plane towards the query's own nearest pivot, at least half the difference of the
+   distances. It visits the first block of this order, then the next ``STEPS``, and then all that are left, each time only those whose bound reaches the k-th
+   best score so far, which rises. Within a block, rows sorted by distance are cut to the span that can qualify.
+3. The best k of all blocks win; ties go to the smaller id. Nothing is approximated: bounds are widened by more than rounding can shift.
 
 Blocks and packs of queries meet by a join on the block, which Spark can split; the driver holds pivots and one row per
-cell, at most pivots x annuli, both fixed.
+cell, at most MOST_PIVOTS x ANNULI.
 
 Vectors that are NULL, or hold NULL, NaN or infinite components, take no part, neither do NULL ids; an empty array is a zero
 vector. Components from 2^21 on raise an error, as scores might not fit a long. Rows that repeat an id are stored rows of their own; a query never
@@ -33,9 +33,13 @@ from pyspark.sql import functions as F
 from farebox.llm.scratch import Steps
 
 PIVOTS = 64
+MOST_PIVOTS = 2048
 ANNULI = 16
-SAMPLE = 4096
+SAMPLE = 32
+STEPS = (1, 8)  # blocks that a query visits before its threshold is taken again; the last round has no limit
 BLOCK_ROWS = 2048
+LEAST_ROWS = 256
+CHUNK = 512  # rows whose distances to all pivots or cells a task holds at once
 PACK_QUERIES = 64
 LARGEST = 1 << 29
 
@@ -70,7 +74,7 @@ def centres(rows: np.ndarray, count: int) -> np.ndarray:
     found = np.unique(rows, axis=0)
     found = found[np.linspace(0, len(found) - 1, min(count, len(found))).astype(int)]
     for _ in range(5):
-        near = distances(rows, found).argmin(1)
+        near, _ = nearest(rows, found)
         sums = np.zeros_like(found)
         np.add.at(sums, near, rows)
         times = np.bincount(near, minlength=len(found))[:, None]
@@ -78,6 +82,15 @@ def centres(rows: np.ndarray, count: int) -> np.ndarray:
     return found
 
 
+def nearest(rows: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest pivot of each row, and the distance to it."""
+    near, away = np.zeros(len(rows), np.int64), np.zeros(len(rows))
+    for start in range(0, len(rows), CHUNK):
+        to = distances(rows[start : start + CHUNK], pivots)
+        near[start : start + CHUNK], away[start : start + CHUNK] = to.argmin(1), to.min(1)
+    return near, away
+
+
 def distances(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     square = (rows**2).sum(1)[:, None] + (pivots**2).sum(1)[None] - 2 * rows @ pivots.T
     return np.sqrt(np.maximum(square, 0))
@@ -99,16 +112,14 @@ def scores_of(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
 class Index:
     """What searching tasks need to know: pivots, the ring width, the largest squared norm, and the cells."""
 
-    def __init__(self, pivots: np.ndarray, step: float, largest: float, width: int):
-        self.pivots, self.step, self.largest, self.width = pivots, step, largest, width
+    def __init__(self, pivots: np.ndarray, step: float, largest: float, width: int, block_rows: int):
+        self.pivots, self.step, self.largest, self.width, self.block_rows = pivots, step, largest, width, block_rows
         self.slack = 1e-6 * (1 + np.sqrt(largest))
         self.cells = np.zeros((0, 4))  # pivot, annulus, rows, blocks before this cell
         self.low = self.high = np.zeros(0)
 
     def keys(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        away = distances(lifted(rows, self.largest), self.pivots)
-        near = away.argmin(1)
-        reach = away[np.arange(len(rows)), near]
+        near, reach = nearest(lifted(rows, self.largest), self.pivots)
         ring = np.minimum(reach / self.step, ANNULI - 1).astype(int) if self.step else np.zeros(len(rows), int)
         return near, reach, ring
 
@@ -124,24 +135,27 @@ class Index:
 
 def build(stored: DataFrame, steps: Steps) -> tuple[Index, DataFrame]:
     """The index, and the table (id, v, pivot, ring, reach) of all stored vectors."""
-    facts = stored.agg(F.max(F.size("v")), F.max(F.aggregate("v", F.lit(0.0), lambda s, c: s + c.cast("double") * c))).first()
-    width, largest = int(facts[0] or 0), float(facts[1] or 0)
-    drawn = stored.select(F.xxhash64("id").alias("h"), "id", "v").orderBy("h", "id").limit(SAMPLE).toArrow()
+    facts = stored.agg(F.max(F.size("v")), F.max(F.aggregate("v", F.lit(0.0), lambda s, c: s + c.cast("double") * c)), F.count("*")).first()
+    width, largest, count = int(facts[0] or 0), float(facts[1] or 0), facts[2]
+    wanted = min(max(PIVOTS, int(np.sqrt(count))), MOST_PIVOTS)
+    tasks = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    drawn = stored.select(F.xxhash64("id").alias("h"), "id", "v").orderBy("h", "id").limit(SAMPLE * wanted).toArrow()
     rows = matrix(drawn.column("v").combine_chunks(), width) if drawn.num_rows else np.zeros((1, width))
     rows = lifted(rows, largest)
-    pivots = centres(rows, PIVOTS)
-    index = Index(pivots, float(distances(rows, pivots).min(1).max()) / ANNULI, largest, width)
+    pivots = centres(rows, wanted)
+    index = Index(pivots, float(nearest(rows, pivots)[1].max()) / ANNULI, largest, width, min(BLOCK_ROWS, max(LEAST_ROWS, count // (2 * tasks))))
     sent = stored.sparkSession.sparkContext.broadcast(index)
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             near, reach, ring = sent.value.keys(matrix(batch.column("v"), sent.value.width))
-            yield pa.record_batch([*batch.columns, pa.array(near, pa.int32()), pa.array(ring, pa.int32()), pa.array(reach)], ["id", "v", "pivot", "ring", "reach"])
+            deal = pa.array(np.random.default_rng().integers(0, 1 << 40, len(batch)))  # written with the row, so it stays what it is
+            yield pa.record_batch([*batch.columns, pa.array(near, pa.int32()), pa.array(ring, pa.int32()), pa.array(reach), deal], ["id", "v", "pivot", "ring", "reach", "deal"])
 
-    keyed = steps.keep(stored.mapInArrow(key, "id long, v array<long>, pivot int, ring int, reach double"), "keyed")
+    keyed = steps.keep(stored.mapInArrow(key, "id long, v array<long>, pivot int, ring int, reach double, deal long"), "keyed")
     cells = keyed.groupBy("pivot", "ring").agg(F.count("*"), F.min("reach"), F.max("reach")).orderBy("pivot", "ring").collect()
     count = np.array([c[2] for c in cells], float)
-    blocks = np.ceil(count / BLOCK_ROWS)
+    blocks = np.ceil(count / index.block_rows)
     index.cells = np.c_[[c[0] for c in cells], [c[1] for c in cells], count, np.cumsum(blocks) - blocks].reshape(-1, 4)
     index.low, index.high = np.array([c[3] for c in cells]), np.array([c[4] for c in cells])
     return index, keyed
@@ -150,17 +164,17 @@ def build(stored: DataFrame, steps: Steps) -> tuple[Index, DataFrame]:
 def with_block(keyed: DataFrame, index: Index) -> DataFrame:
     """Adds the number of the block that each stored vector lies in."""
     spark = keyed.sparkSession
-    rows = [(int(p), int(r), int(b), int(-(-n // BLOCK_ROWS))) for p, r, n, b in index.cells]
+    rows = [(int(p), int(r), int(b), int(-(-n // index.block_rows))) for p, r, n, b in index.cells]
     cells = spark.createDataFrame(rows or [(-1, -1, 0, 1)], "pivot int, ring int, base long, blocks long")
-    placed = keyed.join(F.broadcast(cells), ["pivot", "ring"])  # at most PIVOTS x ANNULI rows
-    return placed.select("id", "v", "reach", "pivot", (F.col("base") + F.pmod(F.xxhash64("id"), "blocks")).alias("block"))
+    placed = keyed.join(F.broadcast(cells), ["pivot", "ring"])  # at most MOST_PIVOTS x ANNULI rows
+    return placed.select("id", "v", "reach", "pivot", (F.col("base") + F.pmod("deal", "blocks")).alias("block"))
 
 
 PACK = "block long, ids array<long>, floors array<long>, vectors array<array<long>>"
 
 
-def requests(queries: DataFrame, index: Index, first: bool, packs: int) -> DataFrame:
-    """Packs of queries (id, v, floor) for each block they must visit: one block at first, then all that can matter."""
+def requests(queries: DataFrame, index: Index, after: int, upto: int | None, packs: int) -> DataFrame:
+    """Packs of queries (id, v, floor) for the blocks in places ``after`` to ``upto`` of each query's order, as far as they can matter."""
     sent = queries.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,22 +182,24 @@ def requests(queries: DataFrame, index: Index, first: bool, packs: int) -> DataF
         if not len(index.cells):
             return
         base = index.cells[:, 3].astype(int)
-        blocks = np.ceil(index.cells[:, 2] / BLOCK_ROWS).astype(int)
-        for batch in batches:
+        blocks = np.ceil(index.cells[:, 2] / index.block_rows).astype(int)
+        for batch in (whole.slice(k, CHUNK) for whole in batches for k in range(0, len(whole), CHUNK)):
             ids, floors = batch.column("id").to_numpy(), batch.column("floor").to_pylist()
             rows = matrix(batch.column("v"), index.width)
             _, least = index.bounds(rows)
             norms = (rows**2).sum(1)
             wanted: dict[int, list[int]] = {}
             for i in range(len(ids)):
-                if first:
-                    cell = int(np.lexsort((-index.cells[:, 2], least[i]))[0])
-                    wanted.setdefault(int(base[cell]), []).append(i)
-                    continue
                 # A score of s means a squared distance of |q|^2 + M^2 - 2 s.
                 limit = np.inf if floors[i] is None else np.sqrt(max(norms[i] + index.largest - 2 * floors[i], 0)) + index.slack
-                for cell in np.flatnonzero(least[i] <= limit):
-                    for block in range(base[cell], base[cell] + blocks[cell]):
+                order = np.lexsort((-index.cells[:, 2], least[i]))
+                before = np.r_[0, np.cumsum(blocks[order])]
+                for k in range(int(np.searchsorted(before, after, "right")) - 1, len(order)):
+                    cell = order[k]
+                    if least[i, cell] > limit or (upto is not None and before[k] >= upto):
+                        break
+                    stop = blocks[cell] if upto is None else min(blocks[cell], upto - before[k])
+                    for block in range(base[cell] + max(after - before[k], 0), base[cell] + stop):
                         wanted.setdefault(int(block), []).append(i)
             vectors = batch.column("v")
             for block, at in wanted.items():
@@ -270,14 +286,21 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, vec_id: str = "vec_id", vect
     steps = Steps(vectors.sparkSession)
     stored = steps.keep(quantised(vectors, vec_id, vector), "stored")
     asked = quantised(vectors.filter(is_query), vec_id, vector).groupBy("id").agg(F.max("v").alias("v"))
-    asked = steps.keep(asked.withColumn("floor", F.lit(None).cast("long")), "asked")
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A small table may lie in one file; its queries are dealt to as many tasks as any.
+    asked = steps.keep(asked.repartition(tasks, "id"), "asked")
     index, keyed = build(stored, steps)
     blocks = steps.keep(packed_blocks(with_block(keyed, index), index), "blocks")
-    opening = visit(requests(asked, index, True, PACK_QUERIES), blocks, index, k)
-    top = steps.keep(best(opening, k).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor")), "floors")
-    known = steps.keep(asked.drop("floor").join(top, "id", "left"), "known")
-    found = visit(requests(known, index, False, PACK_QUERIES), blocks, index, k)
-    return best(found, k).select("query_id", "rank", "vec_id", "score")
+    known, found, after = asked.withColumn("floor", F.lit(None).cast("long")), None, 0
+    for turn, size in enumerate((*STEPS, None)):
+        upto = None if size is None else after + size
+        seen = visit(requests(known.repartition(tasks, "id"), index, after, upto, PACK_QUERIES), blocks, index, k)
+        both = best(seen if found is None else seen.union(found), k)
+        if upto is None:
+            return both.select("query_id", "rank", "vec_id", "score")
+        ranked = steps.keep(both, f"found-{turn}")
+        floors = ranked.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
+        known, found, after = asked.join(floors, "id", "left"), ranked.select("query_id", "vec_id", "score"), upto
 
 
 def best(found: DataFrame, k: int) -> DataFrame:

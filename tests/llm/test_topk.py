@@ -38,6 +38,8 @@ def test_query_equals_sql(spark, data):
 
 def test_clusters_copies_and_ties(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(topk, "LEAST_ROWS", 8)
+    monkeypatch.setattr(topk, "PIVOTS", 5)
     monkeypatch.setattr(topk, "PACK_QUERIES", 3)
     draw = np.random.default_rng(4)
     centre = draw.normal(size=(6, 8))
@@ -65,3 +67,25 @@ def test_too_large_components_are_an_error(spark):
 def test_scores_stay_exact_beyond_doubles():
     a, b = np.array([[2.0**28, 3.0]]), np.array([[2.0**28, 1.0], [2.0**28 - 1, 7.0]])
     assert scores_of(a, b).tolist() == [[2**56 + 3, 2**28 * (2**28 - 1) + 21]]
+
+
+def test_one_id_many_times_fills_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "LEAST_ROWS", 32)
+    rows = [(5, [1.0, 2.0, 0.5])] * 3000 + [(i, [float(i % 7), 1.0, 0.25]) for i in range(10, 60)]
+    assert len(check(spark, rows)) > 10
+    from farebox.llm.scratch import Steps
+
+    df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], KIND)
+    index, keyed = topk.build(topk.quantised(df, "vec_id", "embedding"), Steps(spark))
+    sizes = [r["count"] for r in topk.with_block(keyed, index).groupBy("block").count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) < 700
+
+
+def test_pivots_grow_with_the_table(spark, monkeypatch):
+    from farebox.llm.scratch import Steps
+
+    monkeypatch.setattr(topk, "PIVOTS", 4)
+    for rows in (50, 900):
+        df = spark.range(rows).select("id", F.array(*[(F.rand(k) * 256).cast("long") for k in range(4)]).alias("v"))
+        index, _ = topk.build(df, Steps(spark))
+        assert len(index.pivots) == int(rows**0.5)

@@ -6,7 +6,8 @@ that repeats the one before it counts as a repeat mark, so that pairs see repeti
 score is the logistic function of the sparse dot product with one weight per hash slot, so it lies between 0 and 1.
 
 Training walks ``passes`` times through a bounded, documented sample of labelled texts (``sample`` rows, chosen and ordered by
-a hash of the id) in one task, with the per-coordinate updates of FTRL-proximal. Features of the sample are made in parallel before.
+a hash of the id and of the text; an id that is repeated with one text counts once) in one task, with the per-coordinate updates of
+FTRL-proximal. Features of the sample are made in parallel before.
 Weights have ``2 ** bits`` slots, so the model that scoring tasks receive has a fixed size.
 
 Nulls and texts without tokens score by the intercept alone. Null labels and labels of unknown documents are passed over;
@@ -26,6 +27,7 @@ from pyspark.sql import types as T
 
 from farebox.llm.buffers import by_text, mix, run_hashes, slices, span_hashes, text_bytes, token_spans
 
+SLICE = 1 << 20  # bytes of text whose features a task holds at once
 _REPEAT = np.uint64(0x51)
 _LOWER, _UPPER, _DIGIT = np.zeros((3, 256), np.int64)
 _LOWER[97:123] = _UPPER[65:91] = _DIGIT[48:58] = 1
@@ -34,7 +36,7 @@ _LOWER[97:123] = _UPPER[65:91] = _DIGIT[48:58] = 1
 @dataclass(frozen=True)
 class QualitySettings:
     bits: int = 20
-    sample: int = 6_000
+    sample: int = 12_000
     passes: int = 4
     alpha: float = 1.0
     beta: float = 1.0
@@ -56,7 +58,7 @@ def text_features(column: pa.Array, bits: int) -> Iterator[tuple[int, np.ndarray
     """For slices of a batch: number of texts, slot and text number of every feature (by text), tokens per text."""
     data, offsets = text_bytes(column)
     shift = np.uint64(64 - bits)
-    for start, stop in slices(offsets):
+    for start, stop in slices(offsets, SLICE):
         part, at = data[offsets[start] : offsets[stop]], offsets[start : stop + 1] - offsets[start]
         starts, lengths, owner = token_spans(part, at)
         words = span_hashes(part, starts, lengths)
@@ -106,7 +108,7 @@ def train_quality(
     drawn = known.select("__id", "label", place.alias("place")).orderBy("place", "__id").limit(settings.sample)
     # The sample has at most settings.sample rows of three numbers, so it may be broadcast.
     texts = docs.select(F.col("doc_id").alias("__id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(drawn), "__id").select("place", F.xxhash64("text").alias("tie"), "label", "text")
+    met = texts.join(F.broadcast(drawn), "__id").select("place", F.xxhash64("text").alias("tie"), "label", "text")
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,8 +131,10 @@ def train_quality(
         yield pa.record_batch([pa.array([learn(rows * settings.passes, settings).tobytes()], pa.binary())], ["weights"])
 
     names = ["place", "tie", "label", "slots", "values"]
-    made = rows.mapInArrow(featurise, "place long, tie long, label double, slots binary, values binary")
-    ordered = made.repartition(1).sortWithinPartitions("place", "tie")
+    made = met.mapInArrow(featurise, "place long, tie long, label double, slots binary, values binary")
+    # Ids may repeat without end: equal texts become one here, of more than a sample every task keeps the first rows only.
+    once = made.groupBy("place", "tie").agg(*[F.first(c).alias(c) for c in ("label", "slots", "values")])
+    ordered = once.orderBy("place", "tie").limit(settings.sample).repartition(1).sortWithinPartitions("place", "tie")
     found = ordered.mapInArrow(fit, "weights binary").collect()
     size = (1 << bits) + 1
     return np.frombuffer(found[0]["weights"], np.float32) if found else np.zeros(size, np.float32)

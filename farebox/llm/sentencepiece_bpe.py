@@ -9,7 +9,8 @@ place fails twice, so the work is linear in the text.
 
 Where no piece of the vocabulary holds a blank mark behind another character, a line end, or a letter before
 a full stop or comma, nothing can merge over those places. Texts are then cut there, and the ids of a cut are remembered in a
-bounded table.
+bounded table. The driver finds the reachable pieces and their prefixes once and sends them; a task builds its automaton from
+them and lets go of it, and of what it remembers, when it ends, so nothing stays in a worker that other stages use again.
 
 Nulls encode as empty text. Empty text gives the begin and end ids only and decodes to empty text. Repeated rows and
 null ids are kept as they are; a column of the input that clashes with a result column is replaced by the result.
@@ -17,7 +18,7 @@ null ids are kept as they are; a column of the input that clashes with a result
 
 from __future__ import annotations
 
-import hashlib
+import pickle
 import re
 from collections.abc import Iterator
 
@@ -29,7 +30,10 @@ from pyspark.sql import types as T
 
 MARK = "▁"
 LETTERS = "a-zA-ZÀ-ÖØ-öø-ÿ"
-REMEMBERED = 250_000
+REMEMBERED = 100_000
+
+
+NONE = -1
 
 
 class PieceModel:
@@ -62,6 +66,9 @@ class PieceModel:
         self.silent = {i for i, p in enumerate(model.pieces) if p.type == kinds.CONTROL}
         inner = re.compile(rf"[^{MARK}]{MARK}|\n|[{LETTERS}][.,]")
         self.cuttable = not any(inner.search(p) for p in self.ids)
+        reachable = {p for p in self.ids if len(p) == 1 or self.merged(p) == [p]}
+        #: For every reachable piece its longest proper prefix that is reachable, or NONE.
+        self.prefixes = {self.ids[p]: next((self.ids[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in reachable), NONE) for p in reachable}
 
     def merged(self, text: str) -> list[str]:
         """Pieces of a short text by plain merging. Defines compatibility; the encoder calls it on pairs only."""
@@ -80,19 +87,16 @@ class PieceModel:
 class PieceEncoder:
     """Backtracking encoder and decoder of one model, for one task. Pieces are numbers; NONE is a character outside."""
 
-    NONE = -1
+    NONE = NONE
 
     def __init__(self, model: PieceModel, remembered: int = REMEMBERED):
         self.model, self.remembered = model, remembered
-        reachable = {p for p in model.ids if len(p) == 1 or model.merged(p) == [p]}
         self.automaton = ahocorasick.Automaton()
         self.shorter, self.length = [self.NONE] * len(model.pieces), [1] * (len(model.pieces) + 1)
-        for piece in reachable:
-            number = model.ids[piece]
+        for number, prefix in model.prefixes.items():
+            piece = model.pieces[number]
             self.automaton.add_word(piece, (len(piece) - 1, number))
-            self.length[number] = len(piece)
-            prefixes = (piece[:n] for n in range(len(piece) - 1, 0, -1))
-            self.shorter[number] = next((model.ids[x] for x in prefixes if x in reachable), self.NONE)
+            self.length[number], self.shorter[number] = len(piece), prefix
         self.automaton.make_automaton()
         self.pairs: dict[int, bool] = {}
         self.units: dict[str, bytes] = {}
@@ -228,11 +232,11 @@ def encode_documents(
     """
     spark = docs.sparkSession
     keep = tuple(c for c in keep if c not in ("ids", "decoded"))
-    model = spark.sparkContext.broadcast(read_model(spark, model_path))
+    model = spark.sparkContext.broadcast(pickle.dumps(PieceModel(read_model(spark, model_path))))
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(model.value)
+        encoder = PieceEncoder(pickle.loads(model.value))
         for batch in batches:
             source = batch.column(len(keep))
             for start in range(0, len(source), 256):
@@ -254,14 +258,3 @@ def read_model(spark, path: str) -> bytes:
     with open(path, "rb") as file:
         return file.read()
 
-
-_READY: dict[str, PieceEncoder] = {}
-
-
-def encoder_of(proto: bytes) -> PieceEncoder:
-    """One encoder for all tasks of a worker process, with what it has remembered."""
-    key = hashlib.sha256(proto).hexdigest()
-    if key not in _READY:
-        _READY.clear()
-        _READY[key] = PieceEncoder(PieceModel(proto))
-    return _READY[key]

@@ -7,8 +7,8 @@ occurrences go; ``removed`` retains their places in the original text, as (start
 from its first whole piece to its last, while what fewer words repeat (a heading, a standard phrase) stays.
 
 Texts are packed into slices, one row each, in a table bucketed by slice. Slices first learn, a bit for each, which of their 64-bit
-unit hashes stand elsewhere too; rows are made for those alone. First occurrences are combined in the tasks before they
-shuffle, and Spark can split the join of the others where a unit is frequent. Places to remove are gathered per slice.
+unit hashes stand elsewhere too; rows are made for those alone. What stands earlier in its own slice goes at once, so a slice sends a unit once, however
+frequent it is. First occurrences are combined in the tasks before they shuffle, and Spark can split the join of the others.
 
 Nulls: a NULL text stays NULL with nothing removed; NULL ids rank last. Repeated rows (same id and text) are one document: both keep or lose the same
 passages. Texts that lose all pieces become empty. A text that repeats one sentence over and over keeps its first unit's beginning. Other columns stay;
@@ -88,8 +88,10 @@ def repeated_units(slices: DataFrame, parts: int, min_words: int) -> DataFrame:
                 again[where] |= np.unpackbits(np.frombuffer(mark["shared"], np.uint8), count=len(where)).astype(bool)
             kept = np.flatnonzero(again[one.of]) if len(one.of) else np.zeros(0, np.int64)
             place = one.place[kept]
+            kept = kept[np.lexsort((one.start[kept], one.versions[place], one.ids[place], one.late[place]))]
+            place = one.place[kept]
             columns = [
-                pa.array([one.digests[k] for k in kept.tolist()], pa.binary()),
+                pa.array(first_digests(one, kept), pa.binary()),
                 pa.array(one.late[place]),
                 *[pa.array(x, pa.int64()) for x in (one.ids[place], one.versions[place], one.start[kept], one.stop[kept], np.full(len(kept), one.number))],
                 pa.array(place, pa.int32()),
@@ -99,6 +101,14 @@ def repeated_units(slices: DataFrame, parts: int, min_words: int) -> DataFrame:
     return slices.mapInArrow(run, UNIT_SQL)
 
 
+def first_digests(one: PassageSlice, kept: np.ndarray) -> list[bytes | None]:
+    """Digests of ranked units; None for one that stands earlier in the slice, so it goes whatever other slices hold."""
+    who = list(zip(one.late[one.place[kept]].tolist(), one.ids[one.place[kept]].tolist(), one.versions[one.place[kept]].tolist(), one.start[kept].tolist(), strict=True))
+    seen: dict[bytes, tuple] = {}
+    digests = [one.digests[k] for k in kept.tolist()]
+    return [d if seen.setdefault(d, w) == w else None for d, w in zip(digests, who, strict=True)]
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for start, stop in sorted(spans):
@@ -121,8 +131,10 @@ def repeated_places(docs: DataFrame, min_words: int, doc_id: str) -> DataFrame:
     marks = marks.groupBy("slice").agg(F.collect_list(F.struct("part", "shared")).alias("marks"))
     units = steps.keep(repeated_units(slices.join(marks.hint("shuffle_hash"), "slice", "left"), parts, min_words), "units")
     ranked = units.withColumn("rank", F.struct("late", "id", "version", "start"))
-    first = ranked.groupBy("digest").agg(F.min("rank").alias("first"))
-    later = ranked.join(first.hint("merge"), "digest").filter("rank > first")
+    sent = ranked.filter(F.col("digest").isNotNull())
+    first = steps.keep(sent.groupBy("digest").agg(F.min("rank").alias("first")), "first")
+    later = sent.join(first.hint("merge"), "digest").filter("rank > first").drop("first")
+    later = later.unionByName(ranked.filter(F.col("digest").isNull()))
     # Of repeated rows one stands for all: their units have equal ranks, and so the same places go.
     spans = later.groupBy("late", "id", "version").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 

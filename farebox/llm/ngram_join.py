@@ -3,11 +3,12 @@
 Texts are lower-cased (A-Z), cut into words, and turned into their set of distinct five-word shingles (64-bit hashes; a
 shorter text is one shingle of all its words). Texts link when 100 * intersection >= 80 * union.
 
-1. ``Classes``: texts with equal sets share a key (64 bits of the set's MD5), and from here on a class counts as one.
+1. ``Classes``: texts with equal sets share a key (64 bits of the set's MD5), and from here on a class counts as one. Where different sets
+   share a key, their other 64 bits tell, and these become their keys; so classes are told apart by 128 bits.
 2. ``Frequencies``: every task sends the shingles of the classes it met, packed by range of their hashes; a range counts in
    how many classes each shingle is, and sends those found in two or more on to their classes. Shingles of a single
    class cannot be shared and stop there. The few found in over a ``HOT`` part of the classes (at most average set size /
-   HOT, hence a bounded table) get their counts from the tasks' own sums and skip the ranges, so no range holds a hot shingle.
+   HOT, hence a bounded table) get their counts from the tasks' own summaries of heavy hitters and skip the ranges, so no range holds a hot shingle.
 3. ``Prefixes``: with its shingles in order of frequency (rare first), a class with n shingles needs a common shingle
    among its first n - t + 1 with any partner, t = ceil(0.8 n); more generally l common ones among its first n - t + l.
    Each class picks the l from 1 to 8 with the least estimated cost (postings read, plus verifications of the classes that share l
@@ -44,13 +45,40 @@ PERCENT = 80
 HOT = 1 / 1024
 RANGE_TOKENS = 2_000_000
 MOST_MATCHES = 8
+SUMMARY = 1 << 18  # shingles that a task's summary of heavy hitters holds
 VERIFY_COST = 20
 
 
-def shingle_sets(column: pa.Array) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """Per text of a batch its class key (0: no shingles), the sets end to end, and their sizes."""
+class HeavyHitters:
+    """Times of the most frequent shingles of a task, from any number of batches in bounded memory.
+
+    When the summary is full, every count is lowered by the least that makes room (Misra and Gries), so a
+    count is too low by at most twice the shingles seen divided by ``size``, and never too high.
+    """
+
+    def __init__(self, size: int = SUMMARY):
+        self.size, self.tokens, self.times = size, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def cut(self, tokens: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if len(tokens) > self.size:
+            times = times - np.partition(times, len(tokens) - self.size - 1)[len(tokens) - self.size - 1]
+        return tokens[times > 0], times[times > 0]
+
+    def add(self, tokens: np.ndarray, times: np.ndarray) -> None:
+        tokens, times = self.cut(tokens, times)
+        both, which = np.unique(np.r_[self.tokens, tokens], return_inverse=True)
+        total = np.bincount(which, np.r_[self.times, times], minlength=len(both)).astype(np.int64)
+        self.tokens, self.times = self.cut(both, total)
+
+
+def shingle_sets(column: pa.Array, key_bits: int = 64, clashing: np.ndarray | None = None) -> tuple[list[int], list[int], np.ndarray, np.ndarray]:
+    """Per text of a batch its class key (0: no shingles) and the other half of its digest, the sets end to end, and their sizes.
+
+    A key in ``clashing`` is replaced by the other half.
+    """
     data, offsets = text_bytes(column)
-    keys, sets, sizes = [], [], []
+    keys, others, sets, sizes = [], [], [], []
+    clashes = set() if clashing is None else set(clashing.tolist())
     for start, stop in slices(offsets):
         part, at = lower_ascii(data[offsets[start] : offsets[stop]]), offsets[start : stop + 1] - offsets[start]
         starts, lengths, owner = word_spans(part, at)
@@ -58,10 +86,14 @@ def shingle_sets(column: pa.Array) -> tuple[list[int], np.ndarray, np.ndarray]:
         bounds = by_text(texts, stop - start)
         for i in range(stop - start):
             own = np.unique(hashes[bounds[i] : bounds[i + 1]])
-            keys.append(int.from_bytes(hashlib.md5(own.tobytes()).digest()[:8], "little", signed=True) if len(own) else 0)
+            digest = hashlib.md5(own.tobytes()).digest()
+            key, other = (int.from_bytes(x, "little", signed=True) for x in (digest[:8], digest[8:]))
+            key >>= 64 - key_bits
+            keys.append((other if key in clashes else key) if len(own) else 0)
+            others.append(other)
             sets.append(own)
             sizes.append(len(own))
-    return keys, np.concatenate(sets) if sets else np.zeros(0, np.uint64), np.array(sizes, np.int64)
+    return keys, others, np.concatenate(sets) if sets else np.zeros(0, np.uint64), np.array(sizes, np.int64)
 
 
 def first_of_each(keys: list[int], sizes: np.ndarray) -> np.ndarray:
@@ -70,32 +102,33 @@ def first_of_each(keys: list[int], sizes: np.ndarray) -> np.ndarray:
     return first[sizes[first] > 0]
 
 
-def classes_of(docs: DataFrame, doc_id: str) -> DataFrame:
-    """Rows (doc_id, key, n) for the texts, and rows (token, times) for shingles that are frequent within a batch."""
+def classes_of(docs: DataFrame, doc_id: str, key_bits: int) -> DataFrame:
+    """Rows (doc_id, key, other, n) for the texts, and rows (token, times) for shingles that are frequent within a task."""
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hitters, classes, kind_of_id = HeavyHitters(), 0, None
         for batch in (piece for whole in batches for piece in pieces_of(whole, 1)):
-            keys, tokens, sizes = shingle_sets(batch.column(1))
+            keys, others, tokens, sizes = shingle_sets(batch.column(1), key_bits)
+            kind_of_id = batch.column(0).type
             ends = np.cumsum(sizes)
             first = first_of_each(keys, sizes)
             pieces = [tokens[ends[i] - sizes[i] : ends[i]] for i in first]
-            token, times = np.unique(np.concatenate(pieces), return_counts=True) if pieces else (tokens[:0], sizes[:0])
-            often = (times >= 8) & (times >= HOT * len(first))
-            n, m = len(keys), int(often.sum())
-            yield pa.record_batch(
-                [
-                    pa.concat_arrays([batch.column(0), pa.nulls(m, batch.column(0).type)]),
-                    pa.array([k or None for k in keys] + [None] * m, pa.int64()),
-                    pa.array([*sizes.tolist(), *[None] * m], pa.int64()),
-                    pa.array([None] * n + token[often].view(np.int64).tolist(), pa.int64()),
-                    pa.array([None] * n + times[often].tolist(), pa.int64()),
-                ],
-                ["doc_id", "key", "n", "token", "times"],
-            )
-
+            if pieces:
+                hitters.add(*np.unique(np.concatenate(pieces), return_counts=True))
+            classes += len(first)
+            n = len(keys)
+            columns = [pa.array([k if size else None for k, size in zip(keys, sizes.tolist(), strict=True)], pa.int64()), pa.array(others, pa.int64()), pa.array(sizes)]
+            yield pa.record_batch([batch.column(0), *columns, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names)
+        often = (hitters.times >= 8) & (hitters.times >= HOT * classes / 2)
+        if often.any():
+            m = int(often.sum())
+            columns = [pa.array(hitters.tokens[often].view(np.int64)), pa.array(hitters.times[often])]
+            yield pa.record_batch([pa.nulls(m, kind_of_id), *[pa.nulls(m, pa.int64())] * 3, *columns], names)
+
+    names = ["doc_id", "key", "other", "n", "token", "times"]
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return chosen.mapInArrow(run, f"doc_id {kind}, key long, n long, token long, times long")
+    return chosen.mapInArrow(run, f"doc_id {kind}, key long, other long, n long, token long, times long")
 
 
 def short(tokens: np.ndarray) -> bytes:
@@ -114,7 +147,7 @@ def place(hashes: np.ndarray, parts: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def token_rows(docs: DataFrame, parts: int, hot: Broadcast) -> DataFrame:
+def token_rows(docs: DataFrame, parts: int, hot: Broadcast, key_bits: int) -> DataFrame:
     """Packed (part, keys, sizes, which, tokens, counts): ``which`` numbers each token's class in ``keys``.
 
     Rows of hot tokens have their frequencies in ``counts``; their part follows from the class.
@@ -127,9 +160,9 @@ def token_rows(docs: DataFrame, parts: int, hot: Broadcast) -> DataFrame:
         return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, frequency = hot.value
+        known, frequency, clashing = hot.value
         for batch in (piece for whole in batches for piece in pieces_of(whole, 0)):
-            keys, tokens, sizes = shingle_sets(batch.column(0))
+            keys, _, tokens, sizes = shingle_sets(batch.column(0), key_bits, clashing)
             ends, first, key = np.cumsum(sizes), first_of_each(keys, sizes), np.array(keys, np.int64)
             if not len(first):
                 continue
@@ -347,21 +380,26 @@ def rest_pairs(open_rows: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(F.size(F.array_intersect("prefix", "prefix2")) >= least).select("a", "b")
 
 
-def similar_documents(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
+def similar_documents(docs: DataFrame, doc_id: str = "doc_id", key_bits: int = 64) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text). The smallest id of a component names it; ids may be of any ordered type."""
     spark = docs.sparkSession
     steps = Steps(spark)
-    found = steps.keep(classes_of(docs, doc_id), "classes")
-    members = found.filter("n IS NOT NULL").select("doc_id", "key", "n")
+    found = steps.keep(classes_of(docs, doc_id, key_bits), "classes")
+    members = found.filter("n IS NOT NULL")
+    # With 64 bits, 10^10 different sets share a few keys by chance: a short list, whatever the table.
+    clashes = members.filter("key IS NOT NULL").groupBy("key").agg(F.min("other").alias("low"), F.max("other").alias("high")).filter("low <> high")
+    clashing = [r["key"] for r in clashes.select("key").collect()]
+    key = F.when(F.col("key").isin(clashing), F.col("other")).otherwise(F.col("key")) if clashing else F.col("key")
+    members = members.select("doc_id", key.alias("key"), "n")
     tokens, texts = members.agg(F.sum("n"), F.count("key")).first()
     hot = found.filter("token IS NOT NULL").groupBy("token").agg(F.sum("times").alias("times"))
     # At most (average set size / HOT) shingles are in so many classes: their counts add up to the number of all shingles.
     often = hot.filter(F.col("times") >= HOT * (texts or 0)).toPandas().sort_values("token")
     token, times = often["token"].to_numpy(np.int64).view(np.uint64), often["times"].to_numpy(np.int64)
     order = np.argsort(token)
-    sent = spark.sparkContext.broadcast((token[order], times[order]))
+    sent = spark.sparkContext.broadcast((token[order], times[order], np.array(clashing, np.int64)))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(tokens or 0) // RANGE_TOKENS), 1)
-    ranges = token_rows(docs, parts, sent).repartitionById(parts, "part")
+    ranges = token_rows(docs, parts, sent, key_bits).repartitionById(parts, "part")
     shared = shared_rows(ranges, parts).repartitionById(parts, "part")
     sets = steps.keep(prefixes(shared), "sets")
     postings = steps.keep(sets.select(F.posexplode("prefix").alias("pos", "token"), "key", "n", "shared"), "postings")

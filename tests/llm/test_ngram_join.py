@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from odd import DOCUMENTS, row, sentence
 from farebox.llm.components import components
-from farebox.llm.ngram_join import matches_needed, similar_documents
+from farebox.llm.ngram_join import HeavyHitters, matches_needed, similar_documents
 from farebox.llm.scratch import Steps
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -46,8 +46,8 @@ def brute_force(rows):
     return sorted(((d, len(s), low.get(root[s]) if s else d) for (d, _), s in zip(rows, sets, strict=True)), key=repr)
 
 
-def check(df):
-    got = sorted(((x.doc_id, x.n_shingles, x.component_id) for x in similar_documents(df).collect()), key=repr)
+def check(df, **options):
+    got = sorted(((x.doc_id, x.n_shingles, x.component_id) for x in similar_documents(df, **options).collect()), key=repr)
     want = brute_force([(x.doc_id, x.text) for x in df.select("doc_id", "text").collect()])
     assert got == want
     return got
@@ -115,3 +115,33 @@ def test_components(spark):
     labels = {x.node: x.label for x in components(spark.createDataFrame(edges, "a long, b long"), Steps(spark), "t").collect()}
     assert all(labels[k] == 0 for k in range(61))
     assert labels[101] == 100 and labels[200] == labels[175] == 150 and labels[339] == 300
+
+
+def test_different_sets_of_one_key_are_told_apart(crowded):
+    """With keys of 5 bits nearly all sets share one with others; the other half of the digest tells."""
+    check(crowded, key_bits=5)
+
+
+def test_long_texts_with_a_common_passage(spark):
+    passage = sentence(1, 120)
+    texts = [f"{sentence(100 + k, 900)} {passage} {sentence(500 + k, 900)}" for k in range(40)]
+    check(spark.createDataFrame([row(k, t, "s") for k, t in enumerate(texts)], DOCUMENTS).repartition(3))
+
+
+def test_heavy_hitters_are_kept_and_never_too_high():
+    draw = np.random.default_rng(3)
+    hitters, true = HeavyHitters(500), defaultdict(int)
+    for batch in range(40):
+        tokens = np.r_[np.arange(20), draw.integers(100, 100_000, 2000)].astype(np.uint64)
+        token, times = np.unique(tokens, return_counts=True)
+        for t, n in zip(token.tolist(), times.tolist()):
+            true[t] += n
+        hitters.add(token, times)
+    got = dict(zip(hitters.tokens.tolist(), hitters.times.tolist()))
+    assert len(got) <= 500 and all(n <= true[t] for t, n in got.items())
+    lost = 2 * 40 * 2020 / 500
+    assert all(got.get(t, 0) >= true[t] - lost for t in range(20))
+    exact = HeavyHitters(10_000)
+    exact.add(np.array([3, 5], np.uint64), np.array([2, 1]))
+    exact.add(np.array([5, 9], np.uint64), np.array([4, 1]))
+    assert dict(zip(exact.tokens.tolist(), exact.times.tolist())) == {3: 2, 5: 5, 9: 1}

@@ -5,17 +5,18 @@ Stages hand on the columns of ``documents``; the last one returns token ids. Eve
 
 1. quality: a document stays if the classifier, trained on the labels of the corpus, scores it 0.5 or more.
 2. lines: boilerplate lines of a source go; ``n_chars`` is that of the text that stays.
-3. near copies: of every group of linked documents the one with the smallest id stays, and of repeated rows one. Documents
-   without words are linked with nothing and stay.
+3. near copies: of every group of linked documents the one with the smallest id stays (rows without an id come last, then the text's
+   hash decides), and of repeated rows one. Documents without words are linked with nothing and stay.
 4. mixture: each document is repeated as often as its source's target weight says; one that is taken zero times goes.
 5. tokens: ids of every text, begin and end included.
 
-NULL ids: rows of a group whose ids are all NULL stay, as none of them can be told from the others.
+A row is known by its id and its text together: rows without an id go like others where they copy something, and rows that share an id
+but hold unlinked texts all stay.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.llm.line_dedup import drop_boilerplate
@@ -39,14 +40,18 @@ def cut_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = similar_documents(docs)
-    kept = groups.filter("doc_id = component_id OR doc_id IS NULL").select(F.col("doc_id").alias("__id")).distinct()
-    stays = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    if stays.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").isEmpty():
+    version = F.xxhash64(F.col("text").cast("string"))
+    row = F.struct(F.col("doc_id").isNull().alias("late"), F.coalesce("doc_id", F.lit(0)).alias("id"), version.alias("version"))
+    groups = similar_documents(docs.select(row.alias("__row"), "text"), "__row")
+    kept = groups.filter("__row = component_id").select("__row.late", "__row.id", "__row.version").distinct()
+    kept = kept.select(F.when(~F.col("late"), F.col("id")).alias("__id"), F.col("version").alias("__version"))
+    stays = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (version == F.col("__version")), "left_semi")
+    if stays.groupBy("doc_id", version).count().filter("count > 1").isEmpty():
         return stays
-    first = Window.partitionBy("doc_id").orderBy(*[F.col(c).asc_nulls_last() for c in docs.columns if c != "doc_id"])
-    ranked = stays.withColumn("__rank", F.row_number().over(first))
-    return ranked.filter("__rank = 1 OR doc_id IS NULL").drop("__rank")
+    # Equal rows need no order; of rows that differ in other columns alone the first in their order stays.
+    return stays.groupBy("doc_id", version.alias("__version")).agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("__row")).select(
+        *[F.col("doc_id") if c == "doc_id" else F.col(f"__row.{c}") for c in docs.columns]
+    )
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

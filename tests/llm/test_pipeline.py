@@ -91,3 +91,16 @@ def test_stages_take_odd_documents(spark, odd, no_documents, data):
         for _, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, data)
             assert out.count() <= 2 * docs.count() + 1
+
+
+def test_rows_without_an_id_and_of_one_id(spark, data):
+    """A copy without an id goes, unlinked texts of one id stay, of repeated rows one stays."""
+    from odd import DOCUMENTS, row, sentence
+
+    near = sentence(1, 100)
+    rows = [row(7, near), row(None, near + " more"), row(None, sentence(2, 50)), row(None, sentence(2, 50)), row(8, sentence(3)), row(8, sentence(4)), row(8, sentence(4)), row(8, near)]
+    rows += [row(None, None), row(None, None), row(9, ""), row(9, "")]
+    docs = spark.createDataFrame(rows, DOCUMENTS).select(*NAMES)
+    got = sorted(((x.doc_id, x.text) for x in corpus_pipeline.drop_near_copies(spark, docs, data).collect()), key=repr)
+    want = [(7, near), (None, sentence(2, 50)), (8, sentence(3)), (8, sentence(4)), (None, None), (9, "")]
+    assert got == sorted(want, key=repr)

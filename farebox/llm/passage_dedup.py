@@ -82,7 +82,7 @@ def repeated_units(slices: DataFrame, parts: int, min_words: int) -> DataFrame:
             one = PassageSlice(row, min_words)
             one.runs()
             again = np.bincount(one.of, minlength=len(one.known)) > 1
-            split = one.parts(parts) if row["marks"] else []
+            split = one.parts(parts) if row["marks"] else {}
             for mark in row["marks"] or []:
                 where = split[mark["part"]]
                 again[where] |= np.unpackbits(np.frombuffer(mark["shared"], np.uint8), count=len(where)).astype(bool)

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+MOST_BUCKETS = 100_000  # Spark takes no more by default
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under ``spark.checkpoint.dir``, on whose file system every executor reads and writes.
 
@@ -36,7 +39,11 @@ class Steps:
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
     def bucketed(self, df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
-        """Like ``keep``, in so many buckets by ``column``: joins on it don't shuffle this table again."""
+        """Like ``keep``, in so many buckets by ``column``: joins on it don't shuffle this table again.
+
+        The session's catalog knows it by a name of its own; its files lie with the other tables.
+        """
+        buckets = min(buckets, MOST_BUCKETS)
         full = f"farebox_{uuid.uuid4().hex}"
         df.write.bucketBy(buckets, column).option("compression", "zstd").option("path", f"{self.folder}/{name}").saveAsTable(full)
         return self.spark.table(full)

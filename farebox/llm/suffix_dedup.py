@@ -89,11 +89,12 @@ class Slice:
         self.first, self.count, self.value, self.again = anchored_runs(self.data, self.offsets, self.length, max(1, self.length * 8 // 25), MOST_WINDOWS)
         self.known, self.of = np.unique(self.value, return_inverse=True)
 
-    def parts(self, parts: int) -> list[np.ndarray]:
-        """The known values by part, in the same order whenever it is asked for."""
+    def parts(self, parts: int) -> dict[int, np.ndarray]:
+        """Places of the known values by part (those that have any), in the same order whenever it is asked for."""
         part = (mix(self.known) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        return np.split(order, np.searchsorted(part[order], np.arange(1, parts)))
+        used, first = np.unique(part[order], return_index=True)
+        return dict(zip(used.tolist(), np.split(order, first[1:]), strict=True)) if len(used) else {}
 
 
 def slice_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -110,7 +111,7 @@ def shared_values(slices: DataFrame, parts: int, length: int, hot_bytes: int, ki
             one = kind(row, length)
             one.runs()
             sizes = np.bincount(one.of, one.count + length - 1, minlength=len(one.known))
-            split = [(p, x) for p, x in enumerate(one.parts(parts)) if len(x)]
+            split = list(one.parts(parts).items())
             cells = [[p for p, _ in split], [one.number] * len(split), [one.known[x].tobytes() for _, x in split], [sizes[x].astype("<f4").tobytes() for _, x in split]]
             yield pa.record_batch([pa.array(x, t) for x, t in zip(cells, (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["part", "slice", "values", "sizes"])
 
@@ -155,7 +156,7 @@ def stretches(slices: DataFrame, parts: int, length: int) -> DataFrame:
             one = Slice(row, length)
             one.runs()
             shared, hot = np.zeros(len(one.known), bool), np.zeros(len(one.known), bool)
-            split = one.parts(parts) if row["marks"] else []
+            split = one.parts(parts) if row["marks"] else {}
             for mark in row["marks"] or []:
                 where = split[mark["part"]]
                 for out, bits in ((shared, mark["shared"]), (hot, mark["hot"])):

@@ -4,8 +4,9 @@ Vectors become integers, floor(256 * x), padded with zeros to the longest. With
 sqrt(M^2 - |x|^2) for the stored vectors, M the largest norm, and 0 for the queries, the largest inner products are the
 smallest distances, so bounds from the triangle inequality hold.
 
-1. Pivots are centres fitted on a bounded sample (``SAMPLE`` rows a pivot, by a hash of the id; a few rounds of k-means), as many as the square
-   root of the table's rows, ``PIVOTS`` to ``MOST_PIVOTS``. Every vector is keyed by its nearest pivot and by the annulus its distance to it falls in. A
+1. Pivots are centres fitted on a bounded sample (``SAMPLE`` rows a pivot, by a hash of the id; a few rounds of k-means), as many as half the square
+   root of the table's rows, ``PIVOTS`` to ``MOST_PIVOTS``. Every vector is keyed by its nearest pivot and by the annulus its distance to it falls in, of which
+   there are as many, up to ``ANNULI``, as leave ``CELL_ROWS`` rows a cell. A
    cell (pivot, annulus) with many rows is dealt to several blocks by chance, so a frequent vector, direction or id fills many blocks instead of one.
 2. A query expands the annuli in the order of the least distance that each can hold: to anything in annulus [a, b] around a pivot at
    distance d it is at least a - d and d - b, and, past the half plane towards the query's own nearest pivot, at least half the difference of the
@@ -39,6 +40,7 @@ SAMPLE = 32
 STEPS = (1, 8)  # blocks that a query visits before its threshold is taken again; the last round has no limit
 BLOCK_ROWS = 2048
 LEAST_ROWS = 256
+CELL_ROWS = 128
 CHUNK = 512  # rows whose distances to all pivots or cells a task holds at once
 PACK_QUERIES = 64
 LARGEST = 1 << 29
@@ -112,15 +114,15 @@ def scores_of(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
 class Index:
     """What searching tasks need to know: pivots, the ring width, the largest squared norm, and the cells."""
 
-    def __init__(self, pivots: np.ndarray, step: float, largest: float, width: int, block_rows: int):
-        self.pivots, self.step, self.largest, self.width, self.block_rows = pivots, step, largest, width, block_rows
+    def __init__(self, pivots: np.ndarray, reach: float, annuli: int, largest: float, width: int, block_rows: int):
+        self.pivots, self.step, self.annuli, self.largest, self.width, self.block_rows = pivots, reach / annuli, annuli, largest, width, block_rows
         self.slack = 1e-6 * (1 + np.sqrt(largest))
         self.cells = np.zeros((0, 4))  # pivot, annulus, rows, blocks before this cell
         self.low = self.high = np.zeros(0)
 
     def keys(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         near, reach = nearest(lifted(rows, self.largest), self.pivots)
-        ring = np.minimum(reach / self.step, ANNULI - 1).astype(int) if self.step else np.zeros(len(rows), int)
+        ring = np.minimum(reach / self.step, self.annuli - 1).astype(int) if self.step else np.zeros(len(rows), int)
         return near, reach, ring
 
     def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,13 +139,14 @@ def build(stored: DataFrame, steps: Steps) -> tuple[Index, DataFrame]:
     """The index, and the table (id, v, pivot, ring, reach) of all stored vectors."""
     facts = stored.agg(F.max(F.size("v")), F.max(F.aggregate("v", F.lit(0.0), lambda s, c: s + c.cast("double") * c)), F.count("*")).first()
     width, largest, count = int(facts[0] or 0), float(facts[1] or 0), facts[2]
-    wanted = min(max(PIVOTS, int(np.sqrt(count))), MOST_PIVOTS)
+    wanted = min(max(PIVOTS, int(np.sqrt(count) / 2)), MOST_PIVOTS)
+    annuli = min(max(2, count // (wanted * CELL_ROWS)), ANNULI)
     tasks = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     drawn = stored.select(F.xxhash64("id").alias("h"), "id", "v").orderBy("h", "id").limit(SAMPLE * wanted).toArrow()
     rows = matrix(drawn.column("v").combine_chunks(), width) if drawn.num_rows else np.zeros((1, width))
     rows = lifted(rows, largest)
     pivots = centres(rows, wanted)
-    index = Index(pivots, float(nearest(rows, pivots)[1].max()) / ANNULI, largest, width, min(BLOCK_ROWS, max(LEAST_ROWS, count // (2 * tasks))))
+    index = Index(pivots, float(nearest(rows, pivots)[1].max()), annuli, largest, width, min(BLOCK_ROWS, max(LEAST_ROWS, count // (2 * tasks))))
     sent = stored.sparkSession.sparkContext.broadcast(index)
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,21 +191,23 @@ def requests(queries: DataFrame, index: Index, after: int, upto: int | None, pac
             rows = matrix(batch.column("v"), index.width)
             _, least = index.bounds(rows)
             norms = (rows**2).sum(1)
-            wanted: dict[int, list[int]] = {}
+            found, of = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for i in range(len(ids)):
                 # A score of s means a squared distance of |q|^2 + M^2 - 2 s.
                 limit = np.inf if floors[i] is None else np.sqrt(max(norms[i] + index.largest - 2 * floors[i], 0)) + index.slack
                 order = np.lexsort((-index.cells[:, 2], least[i]))
-                before = np.r_[0, np.cumsum(blocks[order])]
-                for k in range(int(np.searchsorted(before, after, "right")) - 1, len(order)):
-                    cell = order[k]
-                    if least[i, cell] > limit or (upto is not None and before[k] >= upto):
-                        break
-                    stop = blocks[cell] if upto is None else min(blocks[cell], upto - before[k])
-                    for block in range(base[cell] + max(after - before[k], 0), base[cell] + stop):
-                        wanted.setdefault(int(block), []).append(i)
+                order = order[: np.searchsorted(least[i][order], limit, "right")]
+                ends = np.cumsum(blocks[order])
+                place = np.arange(after, ends[-1] if upto is None else min(upto, ends[-1])) if len(order) else np.zeros(0, np.int64)
+                cell = np.searchsorted(ends, place, "right")  # of each place in the query's order of blocks
+                found.append(base[order[cell]] + place - (ends - blocks[order])[cell])
+                of.append(np.full(len(place), i))
+            block_of, query_of = np.concatenate(found), np.concatenate(of)
+            sorted_by = np.argsort(block_of, kind="stable")
+            block_of, query_of = block_of[sorted_by], query_of[sorted_by]
+            used, first = np.unique(block_of, return_index=True)
             vectors = batch.column("v")
-            for block, at in wanted.items():
+            for block, at in zip(used.tolist(), np.split(query_of, first[1:]), strict=True) if len(used) else ():
                 for k in range(0, len(at), packs):
                     some = at[k : k + packs]
                     yield pa.record_batch(

@@ -18,7 +18,7 @@ from farebox.llm.quality import held_out, quality_of
 from farebox.llm.sentencepiece_bpe import encode_documents
 from farebox.llm.suffix_dedup import remove_repeated_substrings
 from farebox.llm.topk import top_k
-from farebox.llm.toxicity import score_toxicity, train_toxicity
+from farebox.llm.toxicity import toxicity_of
 from farebox.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,7 +122,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    scored = score_toxicity(docs, train_toxicity(docs, labels.filter(~held_out(4, 2))))
+    scored = toxicity_of(docs, labels.filter(~held_out(4, 2)))
     predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
     return scored.select("doc_id", held_out(4, 2).alias("held_out"), "score", predicted)
 

@@ -7,8 +7,8 @@ import pytest
 from odd import sentence
 from pyspark.sql import functions as F
 from farebox.llm.queries import QUERIES
-from farebox.llm.quality import QualitySettings, held_out, score_quality, text_features, train_quality
-from farebox.llm.toxicity import differences, score_toxicity, train_toxicity, word_grams
+from farebox.llm.quality import QualitySettings, held_out, learn, score_quality, text_features, train_quality
+from farebox.llm.toxicity import differences, score_toxicity, toxicity_of, train_toxicity, word_grams
 
 SMALL = QualitySettings(bits=16)
 
@@ -118,3 +118,124 @@ def test_rows_keep_their_texts_over_slices(spark):
     whole = {x.n: x.score for x in score_toxicity(docs.coalesce(1), model, ("n",)).collect()}
     parts = {x.n: x.score for x in score_toxicity(docs.repartition(7), model, ("n",)).collect()}
     assert whole.keys() == parts.keys() == set(range(200)) and all(abs(whole[n] - parts[n]) < 1e-9 for n in whole)
+
+
+def test_repeated_ids_count_once_with_one_text_and_are_bounded(spark):
+    """One labelled id repeated without end trains like one row; with ever new texts no more than the sample is learned."""
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    one = spark.createDataFrame([(1, "good words here"), (2, "bad bad bad")], "doc_id long, text string")
+    many = one.union(spark.range(20_000).select(F.lit(1).cast("long").alias("doc_id"), F.lit("good words here").alias("text")))
+    few = QualitySettings(bits=12, sample=10)
+    assert np.array_equal(train_quality(one, labels, few), train_quality(many.repartition(6), labels, few))
+    texts = spark.range(5000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("word"), F.col("id").cast("string")).alias("text"))
+    first = texts.withColumn("tie", F.xxhash64("text")).orderBy("tie").limit(10).select("doc_id", "text")
+    assert np.array_equal(train_quality(texts, labels, few), train_quality(first, labels, few))
+
+
+def plain_ftrl(rows, settings):
+    """Follow-the-regularised-leader in plain Python over (label, {slot: value})."""
+    from math import exp, sqrt
+
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= settings.l1:
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        return (sign * settings.l1 - z[i]) / ((settings.beta + sqrt(n[i])) / settings.alpha + settings.l2)
+
+    for _ in range(settings.passes):
+        for label, x in rows:
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + exp(-sum(w[i] * v for i, v in x.items())))
+            for i, v in x.items():
+                g = (p - label) * v
+                step = (sqrt(n.get(i, 0.0) + g * g) - sqrt(n.get(i, 0.0))) / settings.alpha
+                z[i], n[i] = z.get(i, 0.0) + g - step * w[i], n.get(i, 0.0) + g * g
+    return {i: weight(i) for i in z}
+
+
+def test_training_equals_plain_follow_the_regularised_leader():
+    draw = random.Random(4)
+    settings = QualitySettings(bits=6)
+    rows = []
+    for _ in range(60):
+        slots = sorted(draw.sample(range(64), 8))
+        rows.append((draw.randrange(2), np.array(slots, np.int32), np.array([draw.choice([0.25, 0.5, 1.0]) for _ in slots], np.float16)))
+    got = learn(rows * settings.passes, settings)
+    want = plain_ftrl([(y, dict(zip(s.tolist(), v.astype(float).tolist())) | {64: 1.0}) for y, s, v in rows], settings)
+    assert np.allclose(got, [want.get(i, 0.0) for i in range(65)], atol=1e-6)
+
+
+def test_the_toxicity_query(spark):
+    """On sf0.01 a few hundred labels are all there is to learn from; sizes and rules are what is checked, and that toxic texts stand out."""
+    folder = "/root/testdata/sf0.01"
+    labels = {x.doc_id: x.toxic for x in spark.read.parquet(f"{folder}/labels.parquet").collect() if x.toxic is not None}
+    rows = QUERIES["op2_toxicity"](spark, folder).collect()
+    assert len(rows) == 1000 and all(x.held_out == (zlib.crc32(str(x.doc_id).encode()) % 4 == 2) for x in rows)
+    assert all(0 <= x.score <= 1 and x.predicted == (x.score >= 0.3) for x in rows)
+    held = [(x.score, labels[x.doc_id]) for x in rows if x.held_out and x.doc_id in labels]
+    above = [a > b for a, y in held for b, z in held if y > z]
+    assert np.mean(above) > 0.85
+
+
+def test_repeated_ids_in_toxicity_training(spark):
+    rows = toxic_corpus(200)
+    docs = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(x[0], x[2]) for x in rows], "doc_id long, toxic int")
+    many = docs.union(spark.range(100_000).select(F.lit(rows[0][0]).cast("long").alias("doc_id"), F.lit(rows[0][1]).alias("text")))
+    scored = toxicity_of(many.repartition(6), labels)
+    assert scored.count() == 100_200 and scored.filter("doc_id = 0").select("score").distinct().count() == 1
+
+
+def plain_differences(texts, order=6, discount=0.75):
+    """Log-likelihood differences of grams and contexts from plain counts: interpolated Kneser-Ney with shared backoff."""
+    from collections import Counter
+    from math import log
+
+    counts = {0: Counter(), 1: Counter()}
+    for text, label in texts:
+        for word in set(text.split()):
+            data = b"\0" * (order - 1) + word.encode() + b" "
+            counts[label].update(data[k : k + order] for k in range(len(data) - order + 1))
+    totals = [sum(counts[c].values()) for c in (0, 1)]
+    least = min(totals)
+    o, t = ({g: n * least / totals[c] for g, n in counts[c].items()} for c in (0, 1))
+    grams = set(o) | set(t)
+    p = {g: t.get(g, 0) + o.get(g, 0) for g in grams}
+
+    def context(table):
+        every, free = Counter(), Counter()
+        for g in grams:
+            every[g[:-1]] += table.get(g, 0)
+            free[g[:-1]] += min(table.get(g, 0), discount)
+        return every, free
+
+    (all_t, free_t), (all_o, free_o), (all_p, free_p) = map(context, (t, o, p))
+    n4 = Counter(g[-4:] for g in grams)
+    n1, n3, kinds = Counter(), Counter(), Counter()
+    for g, n in n4.items():
+        n1[g[-1:]] += n
+        n3[g[:-1]] += n
+        kinds[g[:-1]] += 1
+    value = {}
+    for g in grams:
+        c, short = g[:-1], g[-4:]
+        middle = (max(n4[short] - discount, 0) + discount * kinds[short[:-1]] * n1[g[-1:]] / len(grams)) / n3[short[:-1]]
+        shared = (max(p[g] - discount, 0) + free_p[c] * middle) / all_p[c]
+        seen = [(max(x.get(g, 0) - discount, 0) + free[c] * shared) / every[c] if every[c] > 0 else shared for x, every, free in ((t, all_t, free_t), (o, all_o, free_o))]
+        value[g] = log(seen[0] / seen[1])
+    return value, counts
+
+
+def test_differences_equal_plain_kneser_ney(spark):
+    draw = random.Random(8)
+    texts = [(" ".join(draw.choice(["stone", "stoned", "river", "rivers", "vequor", "vequal", "at"]) for _ in range(6)), draw.randrange(2)) for _ in range(60)]
+    want, counts = plain_differences(texts)
+    rows = [(int.from_bytes(g, "big"), counts[1][g], counts[0][g]) for g in want]
+    frame = spark.createDataFrame(rows, "gram long, toxic long, ordinary long")
+    grams, _ = differences(frame, sum(counts[1].values()), sum(counts[0].values()))
+    got = {int(x.gram).to_bytes(6, "big"): x.value for x in grams.collect()}
+    kept = {g for g in want if max(counts[0][g], counts[1][g]) >= 3}
+    assert got.keys() == kept and len(kept) > 20
+    assert all(abs(got[g] - want[g]) < 1e-9 for g in kept)

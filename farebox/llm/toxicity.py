@@ -126,6 +126,19 @@ def vocabulary_grams(vocabulary: bytes) -> tuple[np.ndarray, np.ndarray, np.ndar
     return *word_grams(data, starts, stops - starts), stops - starts
 
 
+def distinct_grams(vocabulary: bytes) -> np.ndarray:
+    """The grams of all words, each once; those of ``WORDS_AT_ONCE`` words are made at a time."""
+    data = np.frombuffer(vocabulary, np.uint8)
+    stops = np.flatnonzero(data == END)
+    starts = np.r_[0, stops[:-1] + 1].astype(np.int64)[: len(stops)]
+    found = [np.zeros(0, np.int64)]
+    for first in range(0, len(stops), WORDS_AT_ONCE):
+        part = slice(first, first + WORDS_AT_ONCE)
+        low, high = starts[part][0], stops[part][-1]
+        found.append(np.unique(word_grams(data[low:high], starts[part] - low, stops[part] - starts[part])[0]))
+    return np.unique(np.concatenate(found))
+
+
 def packed_texts(docs: DataFrame, keep: tuple[str, ...], text: str = "text") -> DataFrame:
     """Slices of texts: (slice, rows: place and ``keep`` columns as c0, c1..., vocabulary, pairs)."""
     row = T.StructType([T.StructField("place", T.IntegerType()), *[T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]])
@@ -338,7 +351,7 @@ def evidence_rows(packed: DataFrame, values: DataFrame, docs: DataFrame, keep: t
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, vocabulary in zip(*batch.columns, strict=True):
-                grams = np.unique(vocabulary_grams(vocabulary.as_py())[0])
+                grams = distinct_grams(vocabulary.as_py())
                 keys = np.r_[grams, -1 - np.unique(grams >> 8)]
                 for first in range(0, len(keys), 100_000):
                     part = pa.array(keys[first : first + 100_000], pa.int64())

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farebox.functions import finite, or_zero, ratio
@@ -29,6 +29,10 @@ SKETCH_SIZE = 8192
 # Part of the rows on either side of a percentile that an exact one is sought in: ten times the error of a sketch.
 BRACKET = 0.005
 
+# Values of a group that one task orders for its percentile, and groups whose brackets may come to the driver.
+WINDOW_ROWS = 1_000_000
+FEW_GROUPS = 10_000
+
 
 def row_count() -> Column:
     return F.count(F.lit(1))
@@ -37,27 +41,85 @@ def row_count() -> Column:
 def percentile_by(
     df: DataFrame, keys: Sequence[str], value: str, name: str, fraction: float = TAIL_FRACTION, **extra: tuple[Column, Column]
 ) -> DataFrame:
-    """Approximate percentile per key: one of the values, NULL for a group without any.
+    """Exact discrete percentile per key: the least value that at least ``fraction`` of the group's values do not exceed.
+
+    NULL and NaN are left out; a group without any other value gives NULL. The
+    groups may be of any size. Sketches bracket each group's percentile at once,
+    before the result is asked for; the result is then one pass that counts the
+    values inside the bracket, combined in the tasks, and orders them. Brackets
+    of large groups are narrowed until ``WINDOW_ROWS`` values at most are
+    ordered. They come to the driver, a row a group; those of more than
+    ``FEW_GROUPS`` groups stay on the executors, as wide as the first sketch
+    leaves them. Were a percentile outside its bracket, that would be an error,
+    never a wrong value. ``extra`` gives for a further column the aggregate of
+    the rows and the one that joins its parts, which are known by the column's
+    name.
+    """
+    usable = df.withColumn("_v", F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double")))
+    told = _beside_brackets(usable, keys, _brackets(usable.select(*keys, "_v"), keys, fraction))
+    side = F.when(F.col("_v") < F.col("_low"), -1).when(F.col("_v") > F.col("_high"), 1).when(F.col("_v").isNotNull(), 0)
+    cells = told.withColumn("_side", side).groupBy(*keys, "_side", F.when(F.col("_side") == 0, F.col("_v")).alias("_cell")).agg(
+        F.count("_v").alias("_rows"), *[rows.alias(column) for column, (rows, _) in extra.items()]
+    )
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("_side", "_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = cells.withColumn("_reached", F.sum("_rows").over(upto)).withColumn("_all", F.sum("_rows").over(group))
+    rank = F.greatest(F.ceil(F.col("_all") * F.lit(fraction)), F.lit(1))
+    sure = F.when(F.col("_side") != 0, F.raise_error(F.lit("a percentile lies outside its bracket")).cast("double")).otherwise(F.col("_cell"))
+    holds = (F.col("_reached") >= rank) & (F.col("_reached") - F.col("_rows") < rank)
+    return placed.groupBy(*keys).agg(
+        *[joined.alias(column) for column, (_, joined) in extra.items()], F.max(F.when(holds, sure)).alias(name)
+    )
+
+
+def _beside_brackets(usable: DataFrame, keys: Sequence[str], brackets: DataFrame) -> DataFrame:
+    """Every row with the bracket of its group."""
+    named = brackets.select(*[F.col(key).alias(f"_of_{key}") for key in keys], "_low", "_high")
+    same = reduce(and_, (F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys), F.lit(True))
+    return usable.join(named, same, "left")
+
+
+def _brackets(usable: DataFrame, keys: Sequence[str], fraction: float) -> DataFrame:
+    """(keys, _low, _high): two values of each group that its percentile lies between."""
+    spark = usable.sparkSession
+    found = _narrowed(usable.withColumns({"_low": F.lit(float("-inf")), "_high": F.lit(float("inf"))}), keys, fraction)
+    rows = found.limit(FEW_GROUPS + 1).collect()
+    if len(rows) > FEW_GROUPS:
+        return found
+    while True:
+        brackets = F.broadcast(spark.createDataFrame(rows, found.schema))
+        left = max((row["_inside"] for row in rows), default=0) * 4 * BRACKET
+        if left <= WINDOW_ROWS:
+            return brackets
+        before, rows = rows, _narrowed(_beside_brackets(usable, keys, brackets), keys, fraction).collect()
+        if sum(row["_inside"] for row in rows) >= sum(row["_inside"] for row in before):
+            return brackets  # nothing but ties is left
+
+
+def _narrowed(told: DataFrame, keys: Sequence[str], fraction: float) -> DataFrame:
+    """(keys, _inside, _low, _high): the values in each group's bracket, and a bracket inside it, from a sketch of these values.
 
     Sketches are merged on two levels, first those of the tasks that share a
     salt, then one for each salt, so no task merges the sketches of all tasks.
-    The salt is that of the task, which thus sends one sketch per key. ``extra``
-    gives for a further column the aggregate of the rows and the one that joins
-    its parts, which are known by the column's name.
+    The salt is that of the task, which thus sends one sketch per key.
     """
-    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = df.withColumn("_salt", F.spark_partition_id() % salts)
-    parts = salted.groupBy(*keys, "_salt").agg(
-        F.kll_sketch_agg_double(value, F.lit(SKETCH_SIZE)).alias("_sketch"),
-        *[rows.alias(column) for column, (rows, _) in extra.items()],
+    salts = int(told.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = told.withColumn("_salt", F.spark_partition_id() % salts).groupBy(*keys, "_salt").agg(
+        F.kll_sketch_agg_double(F.when(F.col("_v").between(F.col("_low"), F.col("_high")), F.col("_v")), F.lit(SKETCH_SIZE)).alias("_sketch"),
+        F.count("_v").alias("_all"),
+        F.count_if(F.col("_v") < F.col("_low")).alias("_below"),
     )
     merged = parts.groupBy(*keys).agg(
-        F.kll_merge_agg_double("_sketch", F.lit(SKETCH_SIZE)).alias("_sketch"),
-        *[joined.alias(column) for column, (_, joined) in extra.items()],
+        F.kll_merge_agg_double("_sketch", F.lit(SKETCH_SIZE)).alias("_sketch"), F.sum("_all").alias("_all"), F.sum("_below").alias("_below")
     )
-    filled = F.kll_sketch_get_n_double("_sketch") > 0
-    tail = F.when(filled, F.kll_sketch_get_quantile_double("_sketch", F.lit(fraction)))
-    return merged.withColumn(name, tail).drop("_sketch")
+    inside = F.coalesce(F.kll_sketch_get_n_double("_sketch"), F.lit(0))
+    # The function takes fixed places alone, so a group picks its edges from a list of them.
+    steps = round(1 / BRACKET)
+    values = F.kll_sketch_get_quantile_double("_sketch", F.array(*[F.lit(step / steps) for step in range(steps + 1)]))
+    place = steps * (F.greatest(F.ceil(F.col("_all") * F.lit(fraction)), F.lit(1)) - F.col("_below")) / F.nullif(inside, F.lit(0))
+    low, high = F.greatest(F.floor(place) - 1, F.lit(0)), F.least(F.ceil(place) + 1, F.lit(steps))
+    known = merged.select(*keys, inside.alias("_inside"), F.when(inside > 0, values).alias("_values"), low.cast("int").alias("_l"), high.cast("int").alias("_h"))
+    return known.select(*keys, "_inside", F.get("_values", F.col("_l")).alias("_low"), F.get("_values", F.col("_h")).alias("_high"))
 
 
 def exact_percentile_by(df: DataFrame, keys: Sequence[str], value: str, name: str, fraction: float = TAIL_FRACTION) -> DataFrame:

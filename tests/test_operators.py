@@ -31,7 +31,7 @@ from farebox.operators.joins import (
 from farebox.operators.projection import evaluated_once, in_role, text_keys, with_defaults, with_revenue_defaults
 from farebox.operators.ranking import running_total, running_total_sliced, top_overall, top_per_group
 from farebox.params import ReportWindow
-from farebox.plans import hourly_profile
+from farebox.plans import hourly_profile, hourly_profile_arrow
 from joinplans import strategy_labels
 from pyspark.sql import functions as F
 
@@ -134,7 +134,7 @@ def test_hourly_profile_of_large_hours_is_exact(spark):
         (40.5 + (F.col("id") * 7919 % 400_000) / 800_000).alias("dropoff_latitude"), F.lit(-74.0).alias("dropoff_longitude"),
     )
     right = 6371.0 * math.radians(359_999 / 800_000)
-    for profile in (hourly_profile,):
+    for profile in (hourly_profile, hourly_profile_arrow):
         (row,) = profile(trips, ReportWindow.from_id(600)).collect()
         assert row.Trips == 400_000 and row.AvgDurationMin == 1.0 and abs(row.P90HaversineKm - right) < 1e-6
 
